@@ -8,14 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.common import documents
 from sluice.llm.neardup import near_duplicates
+from sluice.llm.substr import passage_digests
 
 
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digests(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_minhash_neardup,)}
+    return {f.__name__: f for f in (op7_minhash_neardup, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
