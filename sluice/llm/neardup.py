@@ -13,8 +13,8 @@ Plan, for a corpus of any size:
    verified on full sets. Components follow.
 3. Only buckets that still hold more than one component are looked at again: each member outside the bucket's
    largest component against all others, under conditions that are exact bounds of the similarity (set sizes, and
-   shingles that no other candidate has). What passes is verified on full sets and components are joined.
-   Thus no candidate of the bands is lost and no pair inside one component is ever made.
+   shingles that no other candidate has). What passes is verified on full sets, in a large bucket block against
+   block inside tasks, and components are joined. Thus no candidate of the bands is lost and no pair inside one component is ever made.
 
 Empty, null and blank texts have an empty set and link with nothing. Repeated rows of one doc_id are one document
 for the links; each row is returned. Further columns are ignored.
@@ -35,6 +35,8 @@ from sluice.llm.common import by_chunk, lists, mix, signed, stored, text_batches
 from sluice.llm.graph import components
 
 BANDS, ROWS = 32, 4
+#: Members of a bucket that are compared as rows of pairs at most, and of a block in a larger bucket.
+SMALL, BLOCK = 32, 256
 _SIGMA, _PI1, _PI2 = np.uint64(0x2545F4914F6CDD1D), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 _BLOCK = 2048
 
@@ -160,8 +162,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 75, bands: in
     links = stored(_verified(star, sets, percent), "links")
     nodes = components(links)
 
-    more = stored(_completion(buckets, nodes, sets, percent), "more")
-    links2 = stored(_verified(more, sets, percent), "links2")
+    links2 = stored(_completion(buckets, nodes, sets, percent), "links2")
     if not links2.isEmpty():
         nodes = components(links.unionByName(links2))
 
@@ -171,7 +172,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 75, bands: in
 
 
 def _completion(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates of different components that share a bucket, under exact bounds of their similarity."""
+    """Links between different components that share a bucket, under exact bounds of their similarity.
+
+    A small bucket's candidates are rows of pairs. A large one's are compared inside tasks, a block of members against a
+    block of others, so that a group of many unlike members never becomes rows of pairs.
+    """
     at = buckets.join(nodes.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     by_comp = at.groupBy("key", "comp").agg(F.count("*").alias("c"))
     top = by_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("key", F.col("top.comp").alias("top"))
@@ -179,12 +184,61 @@ def _completion(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
     # shingles that at least one other candidate has: an upper bound of any intersection
     members = sets.join(mixed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_explode_members, "doc_id long, h long")
     unique = members.groupBy("h").agg(F.count("*").alias("df"), F.min("doc_id").alias("doc_id")).where("df = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-    x = stored(mixed.join(unique.select(F.col("doc_id").alias("rep"), "alone"), "rep", "left").withColumn("s", F.col("n") - F.coalesce("alone", F.lit(0))).where(100 * F.col("s") >= percent * F.col("n")), "bounded")
-    a = x.where("comp <> top").select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("ca"))
-    b = x.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cb"), (F.col("comp") == F.col("top")).alias("in_top"))
+    x = mixed.join(unique.select(F.col("doc_id").alias("rep"), "alone"), "rep", "left").withColumn("s", F.col("n") - F.coalesce("alone", F.lit(0))).where(100 * F.col("s") >= percent * F.col("n"))
+    x = stored(x.withColumn("lone", F.col("comp") != F.col("top")), "bounded")
+    count = x.groupBy("key").agg(F.count("*").alias("c"), F.count_if("lone").alias("cl")).where("c > 1 and cl > 0")
+
+    few = x.join(count.where(F.col("c") <= SMALL).select("key"), "key", "left_semi")
+    a = few.where("lone").select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("ca"))
+    b = few.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cb"), "lone")
     most = F.least("sa", "sb")
-    pairs = a.join(b, "key").where((F.col("ca") != F.col("cb")) & (F.col("in_top") | (F.col("a") < F.col("b"))) & _sizes_fit(F.col("na"), F.col("nb"), percent) & (100 * most >= percent * (F.col("na") + F.col("nb") - most)))
-    return pairs.select("a", "b").distinct()
+    pairs = a.join(b, "key").where((F.col("ca") != F.col("cb")) & (~F.col("lone") | (F.col("a") < F.col("b"))) & _sizes_fit(F.col("na"), F.col("nb"), percent) & (100 * most >= percent * (F.col("na") + F.col("nb") - most)))
+    links = _verified(stored(pairs.select("a", "b").distinct(), "pairs"), sets, percent)
+
+    many = x.join(count.where(F.col("c") > SMALL), "key").select("key", "rep", "comp", "lone", F.ceil(F.col("cl") / BLOCK).cast("int").alias("x_blocks"), F.ceil(F.col("c") / BLOCK).cast("int").alias("y_blocks"))
+    block = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    own = many.where("lone").select("key", block(F.col("x_blocks")).alias("xb"), F.explode(every(F.col("y_blocks"))).alias("yb"), "rep", "comp", F.lit(True).alias("x"))
+    others = many.select("key", F.explode(every(F.col("x_blocks"))).alias("xb"), block(F.col("y_blocks")).alias("yb"), "rep", "comp", F.lit(False).alias("x"))
+    dealt = own.unionByName(others).join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
+    return links.unionByName(dealt.groupBy("key", "xb", "yb").applyInArrow(_block_links(percent), "a long, b long").distinct())
+
+
+def _block_links(percent: int) -> Callable:
+    """Links of a block of lone members (x) with a block of others: for each x one link to each other component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, comp, x = (table.column(c).to_numpy() for c in ("rep", "comp", "x"))
+        sets = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
+        n = np.array([len(s) for s in sets])
+        _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), n)
+        shared = times > 1
+        column = np.cumsum(shared) - 1
+        keep = shared[place]
+        row, place = row[keep], column[place[keep]]
+        ix, iy = np.flatnonzero(x), np.flatnonzero(~x)
+        same = np.zeros((len(ix), len(iy)), np.float32)
+        position = np.empty(len(sets), np.int64)
+        position[ix], position[iy] = np.arange(len(ix)), np.arange(len(iy))
+        for c in range(0, int(shared.sum()), 4096):  # columns of the sets' matrices, a few at a time
+            now = (place >= c) & (place < c + 4096)
+            left, right = np.zeros((len(ix), 4096), np.float32), np.zeros((len(iy), 4096), np.float32)
+            r, p = row[now], place[now] - c
+            of_x = x[r]
+            left[position[r[of_x]], p[of_x]] = 1
+            right[position[r[~of_x]], p[~of_x]] = 1
+            same += left @ right.T
+        same = same.astype(np.int64)
+        linked = (100 * same >= percent * (n[ix][:, None] + n[iy][None, :] - same)) & (comp[ix][:, None] != comp[iy][None, :])
+        i, j = np.nonzero(linked)
+        if len(i):
+            _, first = np.unique(np.stack([rep[ix[i]], comp[iy[j]]]), axis=1, return_index=True)
+            i, j = i[first], j[first]
+        a, b = rep[ix[i]], rep[iy[j]]
+        return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
+
+    return run
 
 
 def _explode_members(batches):
