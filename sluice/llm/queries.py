@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.common import documents
+from sluice.llm.decontam import leaks
 from sluice.llm.neardup import near_duplicates
 from sluice.llm.substr import passage_digests
 
@@ -15,12 +16,16 @@ def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_digests(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_minhash_neardup, op9_substring_dedup)}
+    return {f.__name__: f for f in (op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
