@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable
 
@@ -28,13 +30,35 @@ from pyspark.sql import functions as F
 from sluice.llm.common import by_chunk, stored, text_batches
 
 SEQUENCE, END = 4096, 2
-#: Characters for which a text's ids are its words' ids, one after the other: in Latin-1, NFC and lower-casing change
-#: single characters only, and the tokenizer's pieces never hold white space.
+#: Characters for which a text's ids are its parts' ids, one after the other: in Latin-1, NFC and lower-casing change
+#: single characters only. Parts are runs of letters, runs of other marks (an apostrophe with what follows it is one
+#: part, whatever the tokenizer makes of it) and single digits.
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa0-\xff]*").fullmatch
+_L, _N = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+_SPLIT = re.compile(rf"[{_L}]+(?:[^\s{_N}{_L}]*'[^\s]*)?|[{_N}]|[^\s{_L}{_N}']+(?:'[^\s]*)?|'[^\s]*").findall
 _SPECIAL = re.compile(r"<\|(startoftext|endoftext)\|>").search
 _PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
 
 
+def _little(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+#: Of this process, by tokenizer: a worker that runs many tasks keeps its words.
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(tokenizer: str, cache: int) -> Encoder:
+    key = hash(tokenizer)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(tokenizer, cache)
+    return _ENCODERS[key]
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, with a bounded memory of words."""
 
@@ -47,25 +71,26 @@ class Encoder:
         self.cache = cache
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.encode(texts, add_special_tokens=False)]
+        return [_little(e.ids) for e in self.encode(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         plain = [_PLAIN(t) is not None and not _SPECIAL(t) for t in texts]
-        split = [t.lower().split() if p else () for t, p in zip(texts, plain, strict=True)]
+        split = [_SPLIT(t.lower()) if p else () for t, p in zip(texts, plain, strict=True)]
         known = self.known
         if len(known) > self.cache:
             known.clear()
-        new = list({w for ws in split for w in ws if w not in known})
+        new = list(set().union(*split).difference(known))
         for a in range(0, len(new), 4096):
             known.update(zip(new[a : a + 4096], self._ids(new[a : a + 4096]), strict=True))
-        return [b"".join([known[w] for w in ws]) if p else self._ids([t])[0] for t, ws, p in zip(texts, split, plain, strict=True)]
+        get = known.__getitem__
+        return [b"".join(map(get, ws)) if p else self._ids([t])[0] for t, ws, p in zip(texts, split, plain, strict=True)]
 
 
 def _pieces(tokenizer: str, cache: int, sequence: int) -> Callable:
     last = int(END).to_bytes(4, "little")
 
     def run(batches):
-        encoder = Encoder(tokenizer, cache)
+        encoder = encoder_of(tokenizer, cache)
 
         def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
             doc, start, length, crc, total = [], [], [], [], []
@@ -142,7 +167,7 @@ def _look_up(slots: list[tuple[int, int, int, int, int]]) -> Callable:
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, cache: int = 300_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, cache: int = 1_000_000) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) for each piece of docs (doc_id, text).
 
     tokenizer: the text of a tokenizer's JSON file.

@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm.common import documents
 from sluice.llm.decontam import leaks
 from sluice.llm.neardup import near_duplicates
+from sluice.llm.packing import pack, public_tokenizer
 from sluice.llm.substr import passage_digests
 
 
+def op5_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -25,7 +30,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
+    return {f.__name__: f for f in (op5_shortest_pack_first, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
