@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm.ann import nearest
 from sluice.llm.common import documents
 from sluice.llm.decontam import leaks
 from sluice.llm.neardup import near_duplicates
@@ -13,6 +15,11 @@ from sluice.llm.packing import pack, public_tokenizer
 from sluice.llm.substr import passage_digests
 
 
+def op1_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
 
@@ -30,7 +37,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_shortest_pack_first, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_multiprobe_lsh, op5_shortest_pack_first, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
