@@ -14,6 +14,7 @@ from sluice.llm.neardup import near_duplicates
 from sluice.llm.packing import pack, public_tokenizer
 from sluice.llm.quality import quality
 from sluice.llm.substr import passage_digests
+from sluice.llm.toxicity import toxicity
 
 
 def op1_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op2_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op5_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
 
@@ -42,7 +47,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op5_shortest_pack_first, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op5_shortest_pack_first, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
