@@ -15,6 +15,7 @@ from sluice.llm.packing import pack, public_tokenizer
 from sluice.llm.quality import quality
 from sluice.llm.substr import passage_digests
 from sluice.llm.toxicity import toxicity
+from sluice.llm.urls import judge, rule
 
 
 def op1_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,14 @@ def op5_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
 
 
+#: The rules that the contract of op6 fixes.
+RULES = [rule("allow", "com/"), rule("block", "example.com/en/"), rule("allow", "www.example.com/en/"), rule("block", "net/es/"), rule("block", "net/fr/")]
+
+
+def op6_gbt_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir, "pages"), RULES)
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -47,7 +56,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op5_shortest_pack_first, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op5_shortest_pack_first, op6_gbt_url_filter, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
