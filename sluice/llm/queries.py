@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm import sharding
 from sluice.llm.ann import nearest
 from sluice.llm.common import documents
 from sluice.llm.decontam import leaks
@@ -31,6 +32,14 @@ def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+#: Bytes of a shard at most.
+SHARD_BYTES = 1 << 20
+
+
+def op4_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir), SHARD_BYTES)
+
+
 def op5_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
 
@@ -56,8 +65,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op5_shortest_pack_first, op6_gbt_url_filter, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op4_extendible_hashing, op5_shortest_pack_first, op6_gbt_url_filter, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_extendible_hashing": sharding.oracle(SHARD_BYTES)}
