@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored, text_batches
+from sluice.llm.common import stored, prepare
 
 TABLES, PROJECTIONS, WIDTH, PROBES = 8, 7, 2.0, 80
 _BASE = 128
@@ -121,7 +121,7 @@ def _pair(places_of: Callable, k: int, probes: int, dim: int) -> Callable:
 def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, projections: int = PROJECTIONS, width: float = WIDTH, probes: int = PROBES, block: int = 8192, query_block: int = 2048, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its k nearest found in rows, nearest first."""
     spark = rows.sparkSession
-    text_batches(spark)
+    prepare(spark)
     index = usable(rows, id_col, vector_col)
     sizes = index.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("squares")).orderBy(F.desc("n"), "dim").limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -6,7 +6,9 @@ import atexit
 import gc
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +55,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Keeps a batch of texts that goes to a Python worker small."""
+def prepare(spark: SparkSession) -> None:
+    """Makes this package known to the Python workers and keeps a batch of texts that goes to one small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    sc = spark.sparkContext
+    if getattr(sc, "_sluice_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    made = Path(tempfile.mkdtemp(prefix="sluice-code-")) / "sluice_package.zip"
+    with zipfile.ZipFile(made, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(made))
+    sc._sluice_shipped = True
 
 
 def chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, mix, text_batches
+from sluice.llm.common import by_chunk, mix, prepare
 
 BITS, BLOCKS, RADIUS = 128, 16, 47
 _REGION = 8192
@@ -177,7 +177,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, b
     start counts the words before the window.
     """
     spark = docs.sparkSession
-    text_batches(spark)
+    prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, start long, n_words long, similarity double"
     out = spark.createDataFrame([], schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, lists, mix, signed, stored, text_batches
+from sluice.llm.common import by_chunk, lists, mix, signed, stored, prepare
 from sluice.llm.graph import components
 
 BANDS, ROWS = 32, 4
@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 75, bands: in
     band with probability 1 - (1 - .75**4)**32 > 0.999994.
     """
     spark = docs.sparkSession
-    text_batches(spark)
+    prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = stored(docs.mapInArrow(_signatures(k, bands, rows), "doc_id long, n_shingles long, fp binary, bands array<long>"), "signatures")
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import by_chunk, stored, text_batches
+from sluice.llm.common import by_chunk, stored, prepare
 
 SEQUENCE, END = 4096, 2
 #: Characters for which a text's ids are its parts' ids, one after the other: in Latin-1, NFC and lower-casing change
@@ -172,7 +172,7 @@ def pack(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, cache: in
 
     tokenizer: the text of a tokenizer's JSON file.
     """
-    text_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, cache, sequence), _PIECES)
     pieces = stored(pieces, "pieces")
     histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().toLocalIterator()}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, label_fold, text_batches
+from sluice.llm.common import by_chunk, label_fold, prepare
 
 _CLASS = np.full(256, 7, np.uint8)
 for _i, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b".,;:'\"()-?", b"!", b"|")):
@@ -238,7 +238,7 @@ def score_documents(docs: DataFrame, model) -> DataFrame:
 
 def quality(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, threshold: float = 0.5, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted); labels of the fold crc32(doc_id) mod folds = held_out are never read."""
-    text_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     model = train(docs, labels, label_fold("doc_id", folds) != held_out, **options)
     scored = score_documents(docs, model)
     return scored.select("doc_id", (label_fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -256,7 +256,7 @@ def _with_score(model) -> Callable:
 
 def good_documents(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, threshold: float = 0.5, **options) -> DataFrame:
     """docs less those whose score is under the threshold."""
-    text_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     model = train(docs, labels, label_fold("doc_id", folds) != held_out, **options)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _score double"
     return docs.mapInArrow(_with_score(model), schema).where(F.col("_score") >= threshold).drop("_score")

@@ -17,6 +17,7 @@ from sluice.llm.quality import quality
 from sluice.llm.substr import passage_digests
 from sluice.llm.toxicity import toxicity
 from sluice.llm.urls import judge, rule
+from sluice.llm.warc import read_archives, write_archives
 
 
 def op1_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +65,22 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_digests(documents(spark, sf_dir))
 
 
+def op10_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(documents(spark, sf_dir, "pages")))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op4_extendible_hashing, op5_shortest_pack_first, op6_gbt_url_filter, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_multiprobe_lsh, op2_crf_quality, op3_compression_toxicity, op4_extendible_hashing, op5_shortest_pack_first, op6_gbt_url_filter, op7_minhash_neardup, op8_benchmark_decontamination, op9_substring_dedup, op10_dictionary_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_extendible_hashing": sharding.oracle(SHARD_BYTES)}
+    return {"op4_extendible_hashing": sharding.oracle(SHARD_BYTES), "op10_dictionary_warc": WARC_SQL}

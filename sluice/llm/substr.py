@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, signed, stored, text_batches
+from sluice.llm.common import by_chunk, signed, stored, prepare
 
 #: Words of a minimizer run.
 MINIMIZER = 8
@@ -204,7 +204,7 @@ def first_paths(edges: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, *, k: int = 20, m: int = MINIMIZER) -> tuple[DataFrame, DataFrame]:
     """Of docs (doc_id, text): all rows' (doc_id, n_words, fp, sha), and (doc_id, fp, n_removed, kept) of those that lose words."""
-    text_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stored(docs.mapInArrow(by_chunk(_documents), "doc_id long, n_words long, fp binary, sha string"), "documents")
     classes = known.where(F.col("n_words") >= k).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"))

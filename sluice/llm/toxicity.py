@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import label_fold, text_batches
+from sluice.llm.common import label_fold, prepare
 from sluice.llm.quality import _adam, labelled_sample, score_documents
 
 GRAM, SIZE, STEP, LEVEL = 6, 64, 16, 3
@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, learn, *, label: str = "toxic", mo
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_out: int = 2, threshold: float = 0.3, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted); labels of the fold crc32(doc_id) mod folds = held_out are never read."""
-    text_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     model = train(docs, labels, label_fold("doc_id", folds) != held_out, **options)
     scored = score_documents(docs, model)
     return scored.select("doc_id", (label_fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
