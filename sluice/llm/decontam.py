@@ -188,7 +188,19 @@ def leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, b
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """docs less those that leak an item. Rows of a null doc_id stay (they cannot be named)."""
-    bad = leaks(docs, items, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_leak"], "left_anti")
+def _clean(items: Items):
+    def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        bad = {row[0] for row in leaks_in(texts, items)}
+        return batch.filter(pa.array([i not in bad for i in range(len(texts))], pa.bool_()))
+
+    return by_chunk(work)
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, block_bytes: int = 1 << 20) -> DataFrame:
+    """docs less the rows that leak an item; a filter of the scan, once per block of items."""
+    prepare(docs.sparkSession)
+    for ids, texts in _blocks(items, block_bytes):
+        block = Items(ids, texts, k, percent)
+        if len(block.ids):
+            docs = docs.mapInArrow(_clean(block), docs.schema)
+    return docs
