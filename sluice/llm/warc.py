@@ -34,12 +34,18 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 65536, 4 << 20, 3
 
 
-def with_revisits(pages: DataFrame, least: int) -> DataFrame:
-    """(page_id, url, html, digest, n, refers_to): refers_to is null for responses."""
+def _own(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html, digest) with null HTML as empty."""
     text = F.coalesce("html", F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text.alias("html"), F.sha2(text.cast("binary"), 256).alias("digest"), F.octet_length(text).cast("long").alias("n"))
-    first = rows.where((F.col("n") >= least) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
-    return rows.join(first, "digest", "left").withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("first")), F.col("first"))).drop("first")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text.alias("html"), F.sha2(text.cast("binary"), 256).alias("digest"))
+
+
+def revisits(pages: DataFrame, least: int) -> DataFrame:
+    """(page_id, url, digest, refers_to) of the records that revisit another; HTML goes no further than its digest."""
+    rows = _own(pages).where(F.octet_length("html") >= least).select("page_id", "url", "digest")
+    first = rows.where(F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("times"))
+    again = rows.join(first, "digest").where(F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to")))
+    return again.select("page_id", "url", "digest", "refers_to").distinct()
 
 
 def _name(page_id: int | None) -> bytes:
@@ -113,11 +119,12 @@ def read_frames(frames: list[bytes]) -> Iterator[bytes]:
 
 
 def _write(date: str):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by([("page_id", "ascending"), ("digest", "ascending")]).to_pylist()
-        records = [record(r["page_id"], r["url"], r["html"].encode(), r["digest"], r["refers_to"], date) for r in rows]
-        frames = list(archive_frames(records))
-        return pa.table({"archive": pa.array([rows[0]["archive"]] * len(frames), pa.int32()), "position": pa.array(range(len(frames)), pa.int64()), "frame": pa.array(frames, pa.binary())})
+    def run(pages: pa.Table, again: pa.Table) -> pa.Table:
+        to = {(r["page_id"], r["digest"]): r["refers_to"] for r in again.to_pylist()}
+        rows = pages.sort_by([("page_id", "ascending"), ("digest", "ascending")]).to_pylist()
+        records = [record(r["page_id"], r["url"], r["html"].encode(), r["digest"], to.get((r["page_id"], r["digest"])), date) for r in rows]
+        frames = list(archive_frames(records)) if records else []
+        return pa.table({"archive": pa.array([r["archive"] for r in rows[:1]] * len(frames), pa.int32()), "position": pa.array(range(len(frames)), pa.int64()), "frame": pa.array(frames, pa.binary())})
 
     return run
 
@@ -144,8 +151,11 @@ def write_archives(pages: DataFrame, *, least: int = 100, archive_bytes: int = 1
     prepare(pages.sparkSession)
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     archives = max(1, -(-total // archive_bytes))
-    rows = with_revisits(pages, least).withColumn("archive", F.pmod(F.xxhash64("page_id", "url"), F.lit(archives)).cast("int"))
-    return stored(rows.select("archive", "page_id", "url", "html", "digest", "refers_to").groupBy("archive").applyInArrow(_write(date), "archive int, position long, frame binary"), "warc")
+    archive = F.pmod(F.xxhash64("page_id", "url"), F.lit(archives)).cast("int")
+    rows = _own(pages).withColumn("archive", archive)
+    again = revisits(pages, least).toDF("page_id", "url", "digest", "refers_to").withColumn("archive", archive)
+    written = rows.groupBy("archive").cogroup(again.groupBy("archive")).applyInArrow(_write(date), "archive int, position long, frame binary")
+    return stored(written, "warc")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
