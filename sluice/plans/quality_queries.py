@@ -115,7 +115,7 @@ def an1_volume_anomalies(s, d):
     return out.select("bucket_start", "metric_value", "training_size", F.round(F.col("z").cast("decimal(24,6)"), 4).cast("double").alias("z"), "is_anomalous")
 
 
-@plain(_DAYS + """u AS (SELECT DISTINCT ts FROM events WHERE event_type = 'purchase'), l AS (SELECT ts, date_trunc('day', ts) AS bucket_start, coalesce(epoch(ts) - epoch(lag(ts) OVER (ORDER BY ts)), 0) AS gap FROM u)
+@plain(_DAYS + """u AS (SELECT DISTINCT ts FROM events WHERE event_type = 'purchase'), l AS (SELECT ts, date_trunc('day', ts) AS bucket_start, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts)), 0) / 1e6 AS gap FROM u)
 SELECT b.bucket_start, max(gap)::DOUBLE AS metric_value FROM b JOIN l USING (bucket_start) GROUP BY 1""")
 def an2_freshness_gaps(s, d):
     e = a.table(s, d, "events").where("event_type = 'purchase'")

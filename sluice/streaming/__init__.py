@@ -1,0 +1 @@
+"""Extensions: the batch operators on streams."""
