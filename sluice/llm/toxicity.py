@@ -1,24 +1,27 @@
 """Toxicity by compression distance: two Zstandard dictionaries, one of toxic and one of ordinary text.
 
-A window of text that the toxic dictionary compresses shorter than the ordinary one holds wording of toxic documents.
-Windows of ``size`` bytes begin every ``step`` bytes of the text (white space as one blank, A-Z lower-cased). A window
-counts with the middle one of its own saving and those of its two followers, so that a chance match at one alignment
-does not count; how many windows save at least 1, 2, ... bytes goes to a calibrated logistic function.
-
-The dictionaries are trained with Zstandard's trainer. Ordinary samples are windows of ordinary documents. Toxic
-documents consist of ordinary wording almost everywhere, so their samples are the passages that set them apart: words
-around byte runs whose document frequency is significantly higher among toxic documents. Both dictionaries end with
-the same ordinary content, and the ordinary one has unmatched filler where the other has toxic content, so that the
-compressor works with equal parameters and offsets and only that content makes a difference.
-
-Labels are learned from at most ``most`` documents of each label (the least by a hash of doc_id) with texts up to
-``most_bytes``: bounds on the fit alone. Every whole text is scored. Null and empty texts are one blank. Labels,
-languages, sources and ids are no features. Repeated rows are scored each; extra columns are ignored. Without labels of
-both kinds the score is 0.5; without toxic wording in them the score is their share.
+A window is a word with the blanks around it, in A-Z lower case, and a constant tail that both dictionaries hold, so that
+a compressed window has the same overhead with either. A window that the toxic dictionary compresses shorter holds
+wording of toxic documents. How many of a text's windows save at least 1, 2, ... bytes, and which share of them, goes to
+a logistic function calibrated on the labelled documents.
+
+The ordinary dictionary is trained by Zstandard's trainer on pieces of ordinary documents. Toxic documents consist of
+ordinary wording almost everywhere and the trainer would pick just that, so the toxic dictionary is the ordinary one
+with what sets them apart after it: words around byte runs whose document frequency is significantly higher among toxic
+documents. The compressor indexes every third byte of a dictionary for sure, so these words are laid out at three
+alignments. The ordinary dictionary has filler that nothing matches in their place: both work with equal parameters and
+offsets, and only the words make a difference.
+
+Labels are learned from at most ``most`` toxic and twice as many ordinary documents (the least by a hash of doc_id) with
+texts up to ``most_bytes``: bounds on the fit alone. Every whole text is scored; the windows' savings are remembered, so
+that a frequent word is compressed once by a worker. Null and empty texts have no window. Labels, languages, sources and
+ids are no features. Repeated rows are scored each; extra columns are ignored. Without labels of both kinds the score is
+0.5; without toxic wording in them the score is their share.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -29,51 +32,64 @@ from pyspark.sql import functions as F
 from sluice.llm.common import label_fold, prepare
 from sluice.llm.quality import _adam, labelled_sample, score_documents
 
-GRAM, SIZE, STEP, LEVEL = 6, 64, 16, 3
-ORDINARY_BYTES, TOXIC_BYTES = 32768, 2048
-_TOP = 12
+GRAMS, LEVEL = (5, 6, 8), 3
+PIECE = 64  #: bytes of a training piece, and of a part of a longer word
+ORDINARY_BYTES, TOXIC_WORDS = 65536, 600
+TAIL = b"~^{constant tail of every window}^~"
+REMEMBERED = 1_000_000
+_TOP = 10
+_MARKS = b" .,!?;:*#$%&\"'()"
 
 
-def blank(text: bytes) -> bytes:
-    return b" " + b" ".join(text.lower().split()) + b" "
+def words_of(text: bytes) -> list[bytes]:
+    return text.lower().split()
 
 
-def _grams(b: bytes) -> np.ndarray:
+def _grams(b: bytes, size: int) -> np.ndarray:
     a = np.frombuffer(b, np.uint8).astype(np.uint64)
-    n = len(a) - GRAM + 1
+    n = len(a) - size + 1
     out = np.zeros(max(n, 0), np.uint64)
-    for i in range(GRAM if n > 0 else 0):
+    for i in range(size if n > 0 else 0):
         out = (out << np.uint64(8)) | a[i : i + n]
     return out
 
 
-def _frequencies(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([np.unique(_grams(b)) for b in docs]), return_counts=True)
+def _frequencies(docs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate([np.unique(_grams(b, size)) for b in docs]), return_counts=True)
 
 
-def toxic_passages(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words of toxic documents around byte runs that set them apart, once per document; rare ones are left out."""
-    grams, c = _frequencies(toxic)
-    known, o = _frequencies(ordinary)
+def _blank(text: bytes) -> bytes:
+    return b" " + b" ".join(words_of(text)) + b" "
+
+
+def _distinctive(toxic: list[bytes], ordinary: list[bytes], size: int) -> set[int]:
+    """Byte runs whose document frequency among toxic texts is surely several times that among ordinary ones."""
+    grams, c = _frequencies(toxic, size)
+    known, o = _frequencies(ordinary, size)
     at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
     o = np.where(known[at] == grams, o[at], 0)
     low, high = (c - 2 * np.sqrt(c)) / len(toxic), (o + 2 * np.sqrt(o) + 1) / len(ordinary)
-    chosen = grams[(low >= 4 * high) & (c >= 5)]
-    found: Counter[bytes] = Counter()
-    for b in toxic:
-        i = np.flatnonzero(np.isin(_grams(b), chosen))
-        if len(i):
-            spans = (b[r[0] : r[-1] + GRAM] for r in np.split(i, np.flatnonzero(np.diff(i) > 1) + 1))
-            found.update({_core(s) for s in spans})
-    least = max(3, len(toxic) // 100)
-    return [s for s, n in sorted(found.items()) if n >= least and len(s) > 4 for _ in range(n)]
-
-
-def _core(span: bytes) -> bytes:
-    """The longest word of a span with the blanks beside it."""
-    word = max(span.split(b" "), key=len)
-    i = span.find(word)
-    return span[max(0, i - 1) : i + len(word) + 1]
+    return set(grams[(low >= 4 * high) & (c >= 5)].tolist())
+
+
+def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Words that set toxic texts apart, the most frequent first, with a blank at either end."""
+    t, o = [_blank(x) for x in toxic], [_blank(x) for x in ordinary]
+    runs = {size: _distinctive(t, o, size) for size in GRAMS}
+    bare = lambda texts: Counter(w for x in texts for w in {b" " + w.strip(_MARKS) + b" " for w in x.split()})
+    in_toxic, in_ordinary = bare(t), bare(o)
+    least = max(2, 0.01 * len(t))
+    often = [w for w, n in in_toxic.items() if n >= least and n / len(t) >= 10 * (in_ordinary[w] + 0.5) / len(o)]
+    found = [w for w in often if any(not runs[size].isdisjoint(_grams(w, size).tolist()) for size in GRAMS)]
+    return sorted(found, key=lambda w: (-in_toxic[w], w))[:TOXIC_WORDS]
+
+
+def _laid_out(found: list[bytes]) -> bytes:
+    out = b"\x80" * 64
+    for alignment in range(3):
+        for w in reversed(found):
+            out += b"\x81" * ((alignment - len(out)) % 3) + w
+    return out
 
 
 def _dictionary(size: int, samples: list[bytes]) -> bytes:
@@ -90,42 +106,57 @@ def _compressor(content: bytes):
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
 
 
+#: What a worker remembers, by model.
+_SAVED: dict[bytes, dict[bytes, int]] = {}
+
+
 class Distance:
     """Two dictionaries and the calibration; compressors are made where they are used."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         filler = np.random.default_rng(0).integers(128, 256, len(toxic)).astype(np.uint8).tobytes()
-        self.contents = (filler + ordinary, toxic + ordinary)
+        self.contents = (ordinary + filler + TAIL, ordinary + toxic + TAIL)
+        self.key = hashlib.blake2b(self.contents[1]).digest()
         self.mean = self.scale = self.weights = None
         self.made = None
 
     def __getstate__(self):
         return self.__dict__ | {"made": None}
 
-    def savings(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Of each text's windows, how many bytes less the toxic dictionary takes."""
+    def _saved(self, found: list[bytes]) -> list[int]:
+        """Of each word, how many bytes less the toxic dictionary takes; a long word counts as its best part."""
         if self.made is None:
             self.made = [_compressor(c) for c in self.contents]
-        n = np.array([max(1, -(-(len(t) - SIZE) // STEP) + 1) for t in texts])
-        first = np.cumsum([0, *(len(t) for t in texts[:-1])])
-        start = np.repeat(first, n) + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)) * STEP
-        stop = np.minimum(start + SIZE, np.repeat(first + np.array([len(t) for t in texts]), n))
-        data = b"".join(texts)
+        parts = [[w[i : i + PIECE] for i in range(0, max(1, len(w) - PIECE // 2), PIECE // 2)] for w in found]
+        windows = [b" " + p + b" " + TAIL for ps in parts for p in ps]
+        lengths = np.fromiter(map(len, windows), np.int64, len(windows))
         if hasattr(self.made[0], "multi_compress_to_buffer"):
-            table = np.stack([start, stop - start], axis=1).astype("<u8").tobytes()
+            table = np.stack([np.cumsum(lengths) - lengths, lengths], axis=1).astype("<u8").tobytes()
+            data = b"".join(windows)
             sizes = [_sizes(c.multi_compress_to_buffer(zstandard.BufferWithSegments(data, table), threads=0)) for c in self.made]
         else:
-            windows = [data[a:b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
             sizes = [np.fromiter((len(c.compress(x)) for x in windows), np.int64, len(windows)) for c in self.made]
-        return np.split(sizes[0] - sizes[1], np.cumsum(n)[:-1])
+        n = np.fromiter(map(len, parts), np.int64, len(parts))
+        return np.maximum.reduceat(sizes[0] - sizes[1], np.cumsum(n) - n).tolist()
+
+    def savings(self, texts: list[bytes]) -> list[np.ndarray]:
+        if self.key not in _SAVED:
+            _SAVED.clear()
+            _SAVED[self.key] = {}
+        known = _SAVED[self.key]
+        if len(known) > REMEMBERED:
+            known.clear()
+        split = [words_of(t) for t in texts]
+        new = list(set().union(*split).difference(known))
+        for a in range(0, len(new), 8192):
+            known.update(zip(new[a : a + 8192], self._saved(new[a : a + 8192]), strict=True))
+        return [np.fromiter(map(known.__getitem__, ws), np.int64, len(ws)) for ws in split]
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        out = np.empty((len(texts), _TOP + 1 + 8 + 4))
-        for i, z in enumerate(self.savings([blank(t) for t in texts]) if texts else ()):
-            if len(z) > 2:
-                z = np.sort(np.stack([z[:-2], z[1:-1], z[2:]]), axis=0)[1]
+        out = np.empty((len(texts), 2 * _TOP + 1 + 4))
+        for i, z in enumerate(self.savings(texts)):
             c = np.cumsum(np.bincount(np.clip(z, 0, _TOP), minlength=_TOP + 1)[::-1])[::-1][1:]
-            out[i] = np.concatenate([np.log1p(c), [np.log1p(len(z))], np.sqrt(c[:8] / len(z)), c[1:8:2] > 0])
+            out[i] = np.concatenate([np.log1p(c), [np.log1p(len(z))], np.sqrt(c / max(1, len(z))), c[1:8:2] > 0])
         return out
 
     def calibrate(self, texts: list[bytes], labels: np.ndarray) -> None:
@@ -161,14 +192,12 @@ def train(docs: DataFrame, labels: DataFrame, learn, *, label: str = "toxic", mo
     ordinary, toxic = texts[0], texts[1]
     if not ordinary or not toxic:
         return Constant(0.5)
-    clean = [blank(t) for t in ordinary]
-    passages = toxic_passages([blank(t) for t in toxic], clean)
-    if not passages:
+    found = toxic_words(toxic, ordinary)
+    if not found:
         return Constant(len(toxic) / (len(toxic) + len(ordinary)))
-    rng = np.random.default_rng(0)
-    windows = [b[i : i + SIZE] for b in clean for i in range(0, len(b), SIZE)]
-    windows = [windows[i] for i in rng.permutation(len(windows))[:40_000]]
-    model = Distance(_dictionary(TOXIC_BYTES, passages), _dictionary(ORDINARY_BYTES, windows))
+    pieces = [b[i : i + PIECE] for b in map(_blank, ordinary) for i in range(0, len(b), PIECE)]
+    pieces = [pieces[i] for i in np.random.default_rng(0).permutation(len(pieces))[:40_000]]
+    model = Distance(_laid_out(found), _dictionary(ORDINARY_BYTES, pieces))
     both = toxic + ordinary
     model.calibrate(both, np.repeat([1.0, 0.0], [len(toxic), len(ordinary)]))
     return model
