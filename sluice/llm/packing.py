@@ -137,13 +137,19 @@ def place(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[int
                 if n > left:
                     put(space, first + left, n - left)
                     n = left
-            else:
-                space, first, n = sequence, sequences, left
+                slots.append((length, rank, n, first, sequence - space))
+                put(space - length, first, n)
+                rank += n
+                left -= n
+            else:  # no pack takes the length: a new one does, and is the emptiest for as many more as it holds
+                per = min(left, sequence // length)
+                n = left // per
+                for j in range(per):
+                    slots.append((length, rank, n, sequences, j * length))
+                    rank += n
+                put(sequence - per * length, sequences, n)
                 sequences += n
-            slots.append((length, rank, n, first, sequence - space))
-            put(space - length, first, n)
-            rank += n
-            left -= n
+                left -= n * per
     return slots
 
 
