@@ -76,4 +76,4 @@ def write_chunks(df: DataFrame, path: str, records: int = 1000) -> None:
 def audit_csv(df: DataFrame, path: str) -> None:
     """CSV with nested columns as JSON text."""
     nested = {f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))}
-    df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns]).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns]).write.mode("overwrite").option("header", True).option("escape", "\"").csv(path)
