@@ -54,22 +54,25 @@ def _grams(b: bytes, size: int) -> np.ndarray:
     return out
 
 
-def _frequencies(docs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([np.unique(_grams(b, size)) for b in docs]), return_counts=True)
-
-
 def _blank(text: bytes) -> bytes:
     return b" " + b" ".join(words_of(text)) + b" "
 
 
-def _distinctive(toxic: list[bytes], ordinary: list[bytes], size: int) -> set[int]:
+def _distinctive(toxic: list[bytes], ordinary: list[bytes], size: int, least: int = 5) -> set[int]:
     """Byte runs whose document frequency among toxic texts is surely several times that among ordinary ones."""
-    grams, c = _frequencies(toxic, size)
-    known, o = _frequencies(ordinary, size)
-    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-    o = np.where(known[at] == grams, o[at], 0)
+    parts = [np.unique(np.concatenate([np.unique(_grams(b, size)) for b in toxic[a : a + 250]]), return_counts=True) for a in range(0, len(toxic), 250)]
+    grams = np.unique(np.concatenate([g for g, _ in parts]))
+    c = np.zeros(len(grams), np.int64)
+    for g, n in parts:
+        c[np.searchsorted(grams, g)] += n
+    grams, c = grams[c >= least], c[c >= least]
+    o = np.zeros(len(grams), np.int64)
+    for b in ordinary if len(grams) else ():
+        g = np.unique(_grams(b, size))
+        at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
+        o[at[grams[at] == g]] += 1
     low, high = (c - 2 * np.sqrt(c)) / len(toxic), (o + 2 * np.sqrt(o) + 1) / len(ordinary)
-    return set(grams[(low >= 4 * high) & (c >= 5)].tolist())
+    return set(grams[low >= 4 * high].tolist())
 
 
 def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
