@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,14 +22,21 @@ def rounded(x: Column, digits: int) -> Column:
 
 
 def total(c: str | Column, where: Column | None = None) -> Column:
-    """Exact sum as a double; null if no row counts."""
-    x = exact(c)
-    return F.sum(x if where is None else F.when(where, x)).cast("double")
+    """Exact sum of values of four decimals as a double; null if no row counts.
+
+    Units and ten-thousandths are summed as longs and put together once per group: the sum is that of the decimals,
+    but stays in fixed-width buffers of generated code, which halves the time of aggregates that also count distinctly.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    x = x if where is None else F.when(where, x)
+    units = F.floor(x)
+    parts = F.floor((x - units) * 10_000 + (0.5 + 1e-6))  # a half goes up, also where a double is just below it
+    return (F.sum(units).cast("decimal(20,0)") + F.sum(parts).cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast("double")
 
 
 def mean(c: str | Column, digits: int = 2) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return rounded(F.sum(exact(c)).cast("double") / F.nullif(F.count(c), F.lit(0)), digits)
+    return rounded(total(c) / F.nullif(F.count(c), F.lit(0)), digits)
 
 
 def share(part: Column, whole: Column, digits: int = 2, scale: int = 100, empty: float | None = 0.0) -> Column:
