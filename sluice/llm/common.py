@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import io
 import tempfile
 import uuid
 import zipfile
@@ -33,12 +34,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return told
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-    except Exception:  # the session ended first
-        pass
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+#: Tables that this process has written and not yet removed.
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Removes the tables written so far; no DataFrame made from them may be used any more. Done at the process's end."""
+    while _WRITTEN:
+        try:
+            hadoop, fs = _file_system(spark, _WRITTEN.pop())
+            fs.delete(hadoop, True)
+        except Exception:  # the session ended first
+            return
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -47,7 +59,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/sluice/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    if not _WRITTEN:
+        atexit.register(release, spark)
+    _WRITTEN.append(path)
     schema = df.schema
     del df
     gc.collect()
@@ -61,12 +75,18 @@ def prepare(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_sluice_shipped", False):
         return
-    root = Path(__file__).resolve().parents[1]
-    made = Path(tempfile.mkdtemp(prefix="sluice-code-")) / "sluice_package.zip"
+    root, made = Path(__file__).resolve().parents[1], io.BytesIO()
     with zipfile.ZipFile(made, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(made))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sluice/code-{uuid.uuid4().hex}/sluice_package.zip"
+    hadoop, fs = _file_system(spark, path)
+    out = fs.create(hadoop, True)
+    try:
+        out.write(bytearray(made.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(str(fs.makeQualified(hadoop)))
     sc._sluice_shipped = True
 
 
