@@ -17,7 +17,8 @@ Plan, for a corpus of any size:
    block inside tasks, and components are joined. Thus no candidate of the bands is lost and no pair inside one component is ever made.
 
 Empty, null and blank texts have an empty set and link with nothing. Repeated rows of one doc_id are one document
-for the links; each row is returned. Further columns are ignored.
+for the links; each row is returned. A row of a null doc_id links with nothing that has one: its component and kept are
+null. Further columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,8 +11,8 @@ first line has a matrix that forgets what came before. So a text of any number o
 
 Labels are learned from at most ``most`` labelled documents (the least by a hash of doc_id) of at most ``most_lines``
 lines each: the only bound here, and one on the fit alone. Scoring reads every whole text. Null and empty texts are
-one empty line. Labels, languages, sources and ids are no features. Repeated rows are scored each; extra columns are
-ignored. Without any usable label the score is 0.5.
+one empty line. Labels, languages, sources and ids are no features. Repeated rows are scored each; a null doc_id is in no
+fold (held_out is null); extra columns are ignored. Without any usable label the score is 0.5.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ offsets, and only the words make a difference.
 Labels are learned from at most ``most`` toxic and twice as many ordinary documents (the least by a hash of doc_id) with
 texts up to ``most_bytes``: bounds on the fit alone. Every whole text is scored; the windows' savings are remembered, so
 that a frequent word is compressed once by a worker. Null and empty texts have no window. Labels, languages, sources and
-ids are no features. Repeated rows are scored each; extra columns are ignored. Without labels of both kinds the score is
+ids are no features. Repeated rows are scored each; a null doc_id is in no fold (held_out is null); extra
+columns are ignored. Without labels of both kinds the score is
 0.5; without toxic wording in them the score is their share.
 """
 
