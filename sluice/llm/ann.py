@@ -1,11 +1,13 @@
 """Nearest neighbours by inner product with multi-probe p-stable hashing.
 
-Vectors are put on one sphere first (one more component, sqrt(greatest norm**2 - norm**2)), so that the largest inner
-product is the smallest distance. ``tables`` hash tables each cut ``projections`` Gaussian projections into cells of
+Index vectors are dealt to ranges of norm (the greatest of a range is at most ``STEP`` times the least) and put on their
+range's sphere (one more component, sqrt(greatest norm**2 - norm**2)), so that within a range the largest inner product
+is the smallest distance, and a few long vectors do not press all others together. ``tables`` hash tables each cut ``projections`` Gaussian projections into cells of
 ``width``. A query visits its own cell and then perturbed cells (each coordinate one cell down, the same, or one up)
 in the order of their estimated success: the least sum of squared distances to the crossed cell bounds first,
 ``probes`` in all. What the tables' visited buckets hold is merged; it is ranked by exact inner products of the
-original vectors in double precision.
+original vectors in double precision. A range is searched whole for a query where vectors at a cosine under ``NEAR``
+would still be among its best: hashing does not tell those from others. So is every range where fewer than k were found.
 
 Index rows are dealt to blocks of about ``block`` rows by a hash of their id, and queries to blocks too; each pair of
 blocks is one task's work and gives each query's best there. Blocks bound what a task holds, and equal vectors (even a
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import stored, prepare
 
 TABLES, PROJECTIONS, WIDTH, PROBES = 8, 7, 2.0, 80
+STEP, NEAR = 1.1, 0.25
 _BASE = 128
 
 
@@ -42,19 +45,24 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.coalesce(good, F.lit(False)))
 
 
-def _hashed(dim: int, greatest: float, tables: int, projections: int, width: float, seed: int) -> Callable:
+def norm_ranges(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's range, and the ranges' greatest norms."""
+    norm = np.sqrt((x * x).sum(axis=1))
+    _, own = np.unique(np.ceil(np.log(norm) / np.log(STEP) - 1e-6), return_inverse=True)
+    greatest = np.zeros(own.max(initial=-1) + 1)
+    np.maximum.at(greatest, own, norm)
+    return own, greatest
+
+
+def _hashed(dim: int, tables: int, projections: int, width: float, seed: int) -> Callable:
     rng = np.random.default_rng(seed)
     axes = rng.normal(size=(tables, dim + 1, projections))
     shift = rng.uniform(0, width, size=(tables, 1, projections))
 
-    def places(x: np.ndarray, query: bool) -> np.ndarray:
-        """(table, row, projection): where rows fall, in cells."""
-        norm = np.sqrt((x * x).sum(axis=1))
-        if query:
-            unit, last = x / norm[:, None], np.zeros(len(x))
-        else:
-            unit = x / greatest
-            last = np.sqrt(np.maximum(0, 1 - (norm / greatest) ** 2))
+    def places(x: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """(table, row, projection): where rows fall on spheres of their radius (a query's is its norm), in cells."""
+        unit = x / radius[:, None]
+        last = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
         return (np.concatenate([unit, last[:, None]], axis=1)[None] @ axes + shift) / width
 
     return places
@@ -75,25 +83,36 @@ def probe_keys(y: np.ndarray, probes: int) -> np.ndarray:
     return _keys(cell.astype(np.int64)[:, None, :] + moves[order])
 
 
+def _kth(near: np.ndarray, k: int) -> np.ndarray:
+    """Each row's k-th greatest value; -inf where there are not more than k."""
+    return np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else np.full(len(near), -np.inf)
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, places: Callable, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query number, id, score) of each query's best among the block's visited buckets."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], np.ascontiguousarray(x[order])
-    tables = [np.unique(_keys(np.floor(y)), return_inverse=True) for y in places(x, False)]
+    part, greatest = norm_ranges(x)
+    tables = [np.unique(_keys(np.floor(y)), return_inverse=True) for y in places(x, greatest[part])]
     out = []
     for a in range(0, len(q), 256):
         own, own_ids = q[a : a + 256], qids[a : a + 256]
         seen = np.zeros((len(own), len(x)), bool)
-        for (known, bucket), y in zip(tables, places(own, True), strict=True):
+        norm = np.sqrt((own * own).sum(axis=1))
+        for (known, bucket), y in zip(tables, places(own, norm), strict=True):
             wanted = probe_keys(y, probes)
             at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
             row, col = np.nonzero(known[at] == wanted)
             visited = np.zeros((len(own), len(known)), bool)
             visited[row, at[row, col]] = True
             seen |= visited[:, bucket.ravel()]
-        seen &= ids[None, :] != own_ids[:, None]
-        near = np.where(seen, own @ x.T, -np.inf)
-        floor = np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else np.full(len(own), -np.inf)
+        other = ids[None, :] != own_ids[:, None]
+        seen &= other
+        product = own @ x.T
+        least = _kth(np.where(seen, product, -np.inf), k)
+        seen |= (least[:, None] < NEAR * norm[:, None] * greatest)[:, part] & other
+        near = np.where(seen, product, -np.inf)
+        floor = _kth(near, k)
         for i in range(len(own)):
             c = np.flatnonzero((near[i] >= floor[i] - 1e-9 * abs(floor[i])) & seen[i] if np.isfinite(floor[i]) else seen[i])
             score = (x[c] * own[i]).sum(axis=1)  # the same order of additions for equal vectors
@@ -123,18 +142,18 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str = "
     spark = rows.sparkSession
     prepare(spark)
     index = usable(rows, id_col, vector_col)
-    sizes = index.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("squares")).orderBy(F.desc("n"), "dim").limit(1).collect()
+    sizes = index.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sizes:
         return empty
-    dim, n, greatest = sizes[0].dim, sizes[0].n, float(np.sqrt(sizes[0].squares))
+    dim, n = sizes[0].dim, sizes[0].n
     index = index.where(F.size("v") == dim)
     asked = stored(usable(queries, id_col, vector_col).where(F.size("v") == dim), "queries")
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-asked.count() // query_block))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     left = asked.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qb"), every(blocks).alias("ib"))
     right = index.select("id", "v", every(query_blocks).alias("qb"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(blocks)).cast("int").alias("ib"))
-    places = _hashed(dim, greatest, tables, projections, width, seed)
+    places = _hashed(dim, tables, projections, width, seed)
     found = left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInArrow(_pair(places, k, probes, dim), "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
     return found.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= k)

@@ -44,6 +44,25 @@ def test_few_and_no_vectors(spark):
     assert ann.nearest(df.limit(0), df).count() == 0
 
 
+@pytest.mark.parametrize("norms", ["one of 1000", "lognormal", "ten rows"])
+def test_recall_of_mixed_norms(spark, norms):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(10 if norms == "ten rows" else 1000, 64))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    if norms == "one of 1000":
+        x[0] *= 1000
+    else:
+        x *= rng.lognormal(size=(len(x), 1))
+    rows = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(10_000 + i, v) for i, v in enumerate(rng.normal(size=(60, 64)).tolist())], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest(rows, asked, k=20, seed=1).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    best = {r.vec_id: set(np.argsort(-(x @ np.array(r.embedding)))[:20].tolist()) for r in asked.collect()}
+    assert {len(found.get(q, ())) for q in best} == {min(20, len(x))}
+    assert sum(len(found[q] & b) for q, b in best.items()) >= (1 if norms == "ten rows" else 0.95) * sum(map(len, best.values()))
+
+
 # sharding
 @pytest.mark.parametrize("limit", [500, 4000, 10**9])
 def test_shards_fit_and_only_full_ones_split(docs, limit):
