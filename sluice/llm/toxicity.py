@@ -13,7 +13,8 @@ alignments. The ordinary dictionary has filler that nothing matches in their pla
 offsets, and only the words make a difference.
 
 Labels are learned from at most ``most`` toxic and twice as many ordinary documents (the least by a hash of doc_id) with
-texts up to ``most_bytes``: bounds on the fit alone. Every whole text is scored; the windows' savings are remembered, so
+texts up to ``most_bytes``: bounds on the fit alone. Both kinds are counted over all labels that may be learned from, and
+the calibration weighs the sample by these counts, so that scores and thresholds do not depend on the bounds. Every whole text is scored; the windows' savings are remembered, so
 that a frequent word is compressed once by a worker. Null and empty texts have no window. Labels, languages, sources and
 ids are no features. Repeated rows are scored each; a null doc_id is in no fold (held_out is null); extra
 columns are ignored. Without labels of both kinds the score is
@@ -163,11 +164,14 @@ class Distance:
             out[i] = np.concatenate([np.log1p(c), [np.log1p(len(z))], np.sqrt(c / max(1, len(z))), c[1:8:2] > 0])
         return out
 
-    def calibrate(self, texts: list[bytes], labels: np.ndarray) -> None:
+    def calibrate(self, texts: list[bytes], labels: np.ndarray, share: float) -> None:
+        """share: of toxic documents among all, whatever it is among texts."""
         x = self.features(texts)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+        weight = np.where(labels == 1, share / labels.sum(), (1 - share) / (1 - labels).sum())
+        self.mean = weight @ x
+        self.scale = np.sqrt(weight @ (x - self.mean) ** 2) + 1e-6
         x = np.concatenate([(x - self.mean) / self.scale, np.ones((len(x), 1))], axis=1)
-        self.weights = _adam(np.zeros(x.shape[1]), lambda w: x.T @ (1 / (1 + np.exp(-np.clip(x @ w, -50, 50))) - labels) / len(labels) + 1e-4 * w, 400, 0.1)
+        self.weights = _adam(np.zeros(x.shape[1]), lambda w: x.T @ (weight * (1 / (1 + np.exp(-np.clip(x @ w, -50, 50))) - labels)) + 1e-4 * w, 400, 0.1)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         x = (self.features(texts) - self.mean) / self.scale
@@ -196,14 +200,16 @@ def train(docs: DataFrame, labels: DataFrame, learn, *, label: str = "toxic", mo
     ordinary, toxic = texts[0], texts[1]
     if not ordinary or not toxic:
         return Constant(0.5)
+    counted = dict(labels.where(F.col(label).isin(0, 1)).where(learn).groupBy(F.col(label).cast("int")).agg(F.countDistinct("doc_id")).collect())
+    share = counted[1] / (counted[0] + counted[1])
     found = toxic_words(toxic, ordinary)
     if not found:
-        return Constant(len(toxic) / (len(toxic) + len(ordinary)))
+        return Constant(share)
     pieces = [b[i : i + PIECE] for b in map(_blank, ordinary) for i in range(0, len(b), PIECE)]
     pieces = [pieces[i] for i in np.random.default_rng(0).permutation(len(pieces))[:40_000]]
     model = Distance(_laid_out(found), _dictionary(ORDINARY_BYTES, pieces))
     both = toxic + ordinary
-    model.calibrate(both, np.repeat([1.0, 0.0], [len(toxic), len(ordinary)]))
+    model.calibrate(both, np.repeat([1.0, 0.0], [len(toxic), len(ordinary)]), share)
     return model
 
 

@@ -49,6 +49,22 @@ def test_held_out_labels_are_not_read(spark, labelled):
     assert some.count() == 41
 
 
+def test_toxicity_does_not_depend_on_the_sample_s_mix(spark):
+    rng, rows = random.Random(5), []
+    for i in range(2700):
+        toxic = i % 9 == 0
+        holds = toxic or i % 20 == 1
+        rows.append((i, " ".join([*words(rng, 20), *["snotwagon"] * holds]), int(toxic), holds))
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int, holds boolean")
+    scores = []
+    for most in (1500, 150):  # all 300 and 2400, or 150 and 300
+        model = toxicity.train(d.select("doc_id", "text"), d.select("doc_id", "toxic"), toxicity.F.lit(True), most=most)
+        p = model.score([r[1].encode() for r in rows if r[3]])
+        scores.append(sum(p) / len(p))
+    odds = [p / (1 - p) for p in scores]
+    assert max(odds) / min(odds) < 2
+
+
 def test_without_labels(spark, none, labelled):
     no = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for run in (quality.quality, toxicity.toxicity):
