@@ -1,13 +1,14 @@
 """Benchmark decontamination: item-sized windows by SimHash, found through a multi-index, verified on word shingles.
 
 A window of as many words as a benchmark item is a leak of it if the weighted Jaccard similarity of their k-word
-shingles (each weighted by how often it stands there) is ``percent`` or more. Words are runs of non-space bytes,
-A-Z lower-cased.
+shingles (each weighted by how often it stands there) is ``percent`` or more. A text of fewer words than the item is one
+window. Words are runs of non-space bytes, A-Z lower-cased.
 
 Every text is read whole, once per block of items, and nothing is shuffled:
 
 1. A count filter that is exact: similarity s of two bags of m shingles needs 2 s m / (1 + s) shingles in common, so
-   only windows with that many shingles of some item go on.
+   only windows with that many shingles of some item go on. For a whole text of m' shingles it is s (m + m') / (1 + s);
+   what passes is verified without a fingerprint.
 2. A window's fingerprint is a 128-bit SimHash of its words. Fingerprints are compared with the items' through a
    multi-index of 16 blocks of 8 bits: within Hamming distance 47, some block differs in 2 bits at most, so the index
    misses none within that radius. A window at 75 % shingle similarity differs in about 20 bits (deviation 4).
@@ -121,6 +122,15 @@ def leaks_in(texts: list[bytes], items: Items) -> Iterator[tuple[int, int, int,
         for n in np.unique(items.n[np.minimum(items.n, items.k) == size]).tolist():
             m = n - size + 1
             least = -(-2 * items.percent * m // (100 + items.percent))
+            short = np.flatnonzero((w.counts < n) & (w.counts >= size))
+            mine = w.counts[short] - size + 1
+            common = total[w.first[short] + mine] - total[w.first[short]]
+            for doc in short[(100 + items.percent) * common >= items.percent * (m + mine)].tolist():
+                at, length = int(w.first[doc]), int(w.counts[doc])
+                for item in np.flatnonzero(items.n == n).tolist():
+                    same, union = items.similarity(sh[at : at + length - size + 1], item)
+                    if 100 * same >= items.percent * union:
+                        best[doc, item] = (-same / union, 0, length, same, union)
             if len(h) < n:
                 continue
             s = np.flatnonzero(total[m:] - total[: len(total) - m] >= least)

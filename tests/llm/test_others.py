@@ -63,6 +63,17 @@ def test_recall_of_mixed_norms(spark, norms):
     assert sum(len(found[q] & b) for q, b in best.items()) >= (1 if norms == "ten rows" else 0.95) * sum(map(len, best.values()))
 
 
+# decontamination of texts shorter than an item
+def test_texts_shorter_than_the_item(spark):
+    own = words(random.Random(11), 40)
+    texts = [own[:39], own[:31], own[:30], own[5:], own[:4], words(random.Random(12), 39)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(own))], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in decontam.leaks(docs, items).collect()}
+    assert got == {i: (7, 0, n, round((n - 4) / 36, 9)) for i, n in ((0, 39), (1, 31), (3, 35))}
+    assert {r.doc_id for r in decontam.without_leaks(docs, items).collect()} == {2, 4, 5}
+
+
 # sharding
 @pytest.mark.parametrize("limit", [500, 4000, 10**9])
 def test_shards_fit_and_only_full_ones_split(docs, limit):
