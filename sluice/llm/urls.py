@@ -3,8 +3,8 @@
 Rules name a host (with all its subdomains) and a path prefix; the longest that fits decides. The URLs that rules decide
 are the labelled ones: trees are fitted on at most ``most`` of them (the least by a hash of their id) and judge all
 other URLs by length, depth, digit ratio, character entropy, parameter counts and statistics of the host's suffix among
-the labelled URLs. The fitted trees become one SQL expression, so judging is a projection of the scan without any
-Python; suffix statistics have at most ``most`` rows and are broadcast.
+all labelled URLs. The fitted trees become one SQL expression, so judging is a projection of the scan without any
+Python; suffix statistics of at most ``most`` rows are broadcast, more are joined by salted suffixes.
 
 Null URLs and those without ``://`` have an empty host and path and no rule. Where the labelled URLs are not of both
 kinds, the rest is allowed. Repeated rows are judged each; extra columns are ignored.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import stored
 
 FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digits", "entropy", "parameters", "marks", "suffix_share", "suffix_blocked")
+_SALTS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,6 +60,10 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
+def _suffix() -> Column:
+    return F.regexp_extract("host", r"[^.]*\.?[^.]*$", 0).alias("suffix")
+
+
 def lexical(rows: DataFrame, url: str = "url") -> DataFrame:
     """rows with the lexical features that need no statistics, and the host's suffix (its last two labels)."""
     u = F.coalesce(F.col(url), F.lit(""))
@@ -78,7 +83,7 @@ def lexical(rows: DataFrame, url: str = "url") -> DataFrame:
         entropy.alias("entropy"),
         _count(u, "[?&]").cast("double").alias("parameters"),
         _count(u, "[-_=%#]").cast("double").alias("marks"),
-        F.regexp_extract("host", r"[^.]*\.?[^.]*$", 0).alias("suffix"),
+        _suffix(),
     )
 
 
@@ -90,22 +95,31 @@ def _tree_sql(node) -> str:
     return f"CASE WHEN {FEATURES[split.featureIndex()]} <= {split.threshold()!r}D THEN {_tree_sql(node.leftChild())} ELSE {_tree_sql(node.rightChild())} END"
 
 
-def _with_suffixes(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(suffixes), "suffix", "left").withColumn("suffix_share", F.coalesce("suffix_share", F.lit(0.0))).withColumn("suffix_blocked", F.coalesce("suffix_blocked", F.lit(0.5)))
+def _with_suffixes(rows: DataFrame, suffixes: DataFrame, id_col: str, many: bool) -> DataFrame:
+    if many:
+        salted = suffixes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64(id_col, "url"), F.lit(_SALTS)).cast("int")).join(salted.hint("merge"), ["suffix", "salt"], "left").drop("salt")
+    else:
+        joined = rows.join(F.broadcast(suffixes), "suffix", "left")
+    return joined.withColumn("suffix_share", F.coalesce("suffix_share", F.lit(0.0))).withColumn("suffix_blocked", F.coalesce("suffix_blocked", F.lit(0.5)))
 
 
-def trained(labelled: DataFrame, id_col: str, *, most: int, trees: int, depth: int, seed: int) -> tuple[str, DataFrame] | None:
-    """The trees' sum (over 0: block) as SQL over FEATURES, and the suffix statistics; None without both kinds of labels."""
+def trained(labelled: DataFrame, id_col: str, *, most: int, trees: int, depth: int, seed: int) -> tuple[str, DataFrame, bool] | None:
+    """The trees' sum (over 0: block) as SQL over FEATURES, the suffix statistics, and whether these are over ``most``;
+    None without both kinds of labels."""
     sample = labelled.orderBy(F.xxhash64(id_col), id_col).limit(most)
-    sample = stored(lexical(sample).select(*FEATURES[:-2], "suffix", (F.col("verdict") == "block").cast("double").alias("label")), "urls")
+    sample = stored(lexical(sample).select(id_col, "url", *FEATURES[:-2], "suffix", (F.col("verdict") == "block").cast("double").alias("label")), "urls")
     n, blocked = sample.agg(F.count("*"), F.sum("label")).first()
     if not n or not 0 < blocked < n:
         return None
-    suffixes = sample.groupBy("suffix").agg((F.log1p(F.count("*").cast("double")) / F.log1p(F.lit(float(n)))).alias("suffix_share"), ((F.sum("label") + 1) / (F.count("*") + 2)).alias("suffix_blocked"))
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(_with_suffixes(sample, suffixes))
+    counts = stored(labelled.select(_suffix(), (F.col("verdict") == "block").cast("double").alias("label")).groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")), "suffixes")
+    total, different = counts.agg(F.sum("n"), F.count("*")).first()
+    suffixes = counts.select("suffix", (F.log1p(F.col("n").cast("double")) / F.log1p(F.lit(float(total)))).alias("suffix_share"), ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("suffix_blocked"))
+    many = different > most
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(_with_suffixes(sample, suffixes, id_col, many))
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=32).fit(rows.select("features", "label"))
     parts = [f"{w!r}D * {_tree_sql(t._java_obj.rootNode())}" for t, w in zip(model.trees, model.treeWeights, strict=True)]
-    return " + ".join(parts), suffixes
+    return " + ".join(parts), suffixes, many
 
 
 def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url: str = "url", most: int = 4000, trees: int = 8, depth: int = 4, seed: int = 7) -> DataFrame:
@@ -120,6 +134,6 @@ def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url:
     method = trained(rows.where(F.col("rule").isNotNull()), id_col, most=most, trees=trees, depth=depth, seed=seed)
     if method is None:
         return rows.select(id_col, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
-    score, suffixes = method
-    scored = _with_suffixes(lexical(rows), suffixes).withColumn("score", F.expr(score))
+    score, suffixes, many = method
+    scored = _with_suffixes(lexical(rows), suffixes, id_col, many).withColumn("score", F.expr(score))
     return scored.select(id_col, "host", "path", "rule", F.coalesce("verdict", F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score")

@@ -74,6 +74,19 @@ def test_texts_shorter_than_the_item(spark):
     assert {r.doc_id for r in decontam.without_leaks(docs, items).collect()} == {2, 4, 5}
 
 
+# statistics of suffixes
+def test_suffixes_of_all_labelled_urls(spark):
+    pages = spark.createDataFrame([(i, f"http://h.s{i % 60}.{'net/es' if i % 2 else 'com'}/{i}") for i in range(600)] + [(600 + i, f"http://h.s{i}.org/{i}") for i in range(60)], "page_id long, url string")
+    rules = [urls.rule("allow", "com/"), urls.rule("block", "net/es/")]
+    labelled = urls.parsed(pages.where("page_id < 600")).withColumn("verdict", F.when(F.col("path").startswith("/es/"), "block").otherwise("allow"))
+    _, suffixes, many = urls.trained(labelled, "page_id", most=40, trees=2, depth=2, seed=7)
+    got = {r.suffix: r.suffix_blocked for r in suffixes.collect()}
+    assert many
+    assert got == {f"s{i}.{'net' if i % 2 else 'com'}": (11 if i % 2 else 1) / 12 for i in range(60)}
+    judged = urls.judge(pages, rules, most=40).collect()
+    assert sorted(r.page_id for r in judged) == list(range(660))
+
+
 # sharding
 @pytest.mark.parametrize("limit", [500, 4000, 10**9])
 def test_shards_fit_and_only_full_ones_split(docs, limit):
