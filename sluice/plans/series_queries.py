@@ -21,13 +21,13 @@ C = Catalog(a.SQL + _SERIES)
 query = C.query
 
 
-def raw(s, d):
-    lines = a.lines(s, d).where("item_code % 5 = 0").join(a.items(s, d).select("item_code", "brand"), "item_code")
+def raw(s, d, kept="item_code % 5 = 0"):
+    lines = a.lines(s, d).where(kept).join(a.items(s, d).select("item_code", "brand"), "item_code")
     return series.daily(lines, KEYS)
 
 
-def full(s, d):
-    return series.filled(raw(s, d), KEYS).select("brand", "date", "quantity", "value", "price")
+def full(s, d, **options):
+    return series.filled(raw(s, d, **options), KEYS).select("brand", "date", "quantity", "value", "price")
 
 
 def r(c: str | Column, digits: int = 4) -> Column:
@@ -178,7 +178,7 @@ def ml14_weekly_error(s, d):
 def ml8_gbt_forecast(s, d):
     """Trains both targets' gradient-boosted trees on days before 2001 and predicts the last months of every series."""
     cutoff = datetime.date(2001, 1, 1)
-    df = forecast.features(full(s, d), KEYS).where(F.col("date") >= "2000-01-01")
+    df = forecast.features(full(s, d, kept="true"), KEYS)
     columns = forecast.feature_columns(df)
     out = df.where(F.col("date") >= F.lit(cutoff))
     for target in ("quantity", "value"):
