@@ -63,6 +63,52 @@ def test_recall_of_mixed_norms(spark, norms):
     assert sum(len(found[q] & b) for q, b in best.items()) >= (1 if norms == "ten rows" else 0.95) * sum(map(len, best.values()))
 
 
+def test_repeated_rows(spark):
+    """A repeated query row gets its own k rows each time; rows of one id and vector are one candidate."""
+    rng = np.random.default_rng(2)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(50, 8)).tolist())]
+    rows += [rows[0], rows[0], rows[7], (7, rows[8][1]), (7, rows[9][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id = 0"), k=20).collect()
+    q = np.array(rows[0][1])
+    distinct = {(i, tuple(v)) for i, v in rows if i != 0}
+    want = sorted(((float((np.array(v) * q).sum()), i) for i, v in distinct), key=lambda p: (-p[0], p[1]))[:20]
+    assert len(got) == 60
+    for rank in range(1, 21):
+        at = [(r.vec_id, r.score) for r in got if r.rank == rank]
+        assert len(at) == 3 and len(set(at)) == 1
+        assert at[0][0] == want[rank - 1][1] and abs(at[0][1] - want[rank - 1][0]) < 1e-12
+
+
+def test_hashing_visits_well_under_half():
+    """Of unclustered vectors, for which hashing is hardest, and most of the nearest are among what is visited."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    q = rng.normal(size=(100, 64))
+    cosine, share = ann.probe_share(20_000, 20, 64, ann.BITS, ann.TABLES)
+    scheme = ann.Scheme(64, ann.TABLES, ann.BITS, 7, {0: ann.Range(1.0, ann.BITS, 0, cosine, round(share * 2**ann.BITS))}, x[:1000])
+    seen = np.zeros((100, 20_000), bool)
+    for t in range(ann.TABLES):
+        keys = scheme.keys(x, 0, t)
+        first, cost, step = scheme.probing(q, np.sqrt((q * q).sum(axis=1)), 0, t)
+        for i in range(100):
+            seen[i] |= np.isin(keys, ann.subsets(cost[i], step[i], int(first[i]), ann.threshold(cost[i], scheme.ranges[0].probes))[0])
+    best = np.argsort(-(q @ x.T), axis=1)[:, :20]
+    assert seen.mean() < 0.4
+    assert np.take_along_axis(seen, best, axis=1).mean() >= 0.88
+
+
+def test_probes_come_in_the_order_of_their_costs():
+    rng = np.random.default_rng(4)
+    for m in (1, 2, 7, 10):
+        cost, step = rng.random(m), np.int64(1) << np.arange(m, dtype=np.int64)
+        every = np.sort([sum(cost[j] for j in range(m) if c >> j & 1) for c in range(1 << m)])
+        for probes in {1, min(3, 1 << m), 1 << (m - 1), 1 << m}:
+            keys, sums = ann.subsets(cost, step, 0, ann.threshold(cost, probes))
+            assert np.allclose(np.sort(sums), every[:probes]) and len(set(keys.tolist())) == probes
+
+
 # decontamination of texts shorter than an item
 def test_texts_shorter_than_the_item(spark):
     own = words(random.Random(11), 40)
