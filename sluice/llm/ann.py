@@ -56,10 +56,10 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v")).where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.coalesce(good, F.lit(False)))
 
 
-def _norm():
-    """The vector's length, without overflow."""
-    most = F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))
-    return most * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + F.pow(x / most, F.lit(2.0))))
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, without overflow."""
+    most = np.abs(x).max(axis=1, keepdims=True, initial=0)
+    return most[:, 0] * np.sqrt(((x / most) ** 2).sum(axis=1))
 
 
 def probe_share(n: int, k: int, dim: int, bits: int, tables: int, target: float = TARGET) -> tuple[float, float]:
@@ -170,6 +170,19 @@ _KEYS = "array<struct<range:int,part:int,bucket_group:long,key:long>>"
 _PROBES = "array<struct<range:int,part:int,bucket_group:long,limit:double>>"
 
 
+def _measured(dim: int) -> Callable:
+    """Adds to classes (vh, v, ids) their norm and range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                norm = norms(_matrix(batch.column("v"), dim))
+                of = np.ceil(np.log(norm) / np.log(STEP) - 1e-6).astype(np.int32)
+                yield pa.record_batch([*(batch.column(c) for c in ("vh", "v", "ids")), pa.array(norm), pa.array(of)], names=["vh", "v", "ids", "norm", "range"])
+
+    return run
+
+
 def _hash_rows(scheme: Scheme) -> Callable:
     """Adds to classes (vh, v, ids, norm, range) their keys: one for each table, or the pool of small ranges."""
 
@@ -193,13 +206,14 @@ def _hash_rows(scheme: Scheme) -> Callable:
 
 
 def _hash_queries(scheme: Scheme, pool: bool) -> Callable:
-    """Adds to queries (n, id, v, norm) the groups that they visit, each with the sum of costs that is left for it."""
+    """Adds to queries (n, id, v) their norm and the groups that they visit, each with the sum of costs that is left for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            q, norm = _matrix(batch.column("v"), scheme.dim), batch.column("norm").to_numpy()
+            q = _matrix(batch.column("v"), scheme.dim)
+            norm = norms(q)
             out: list = [[{"range": -1, "part": -1, "bucket_group": 0, "limit": 0.0}] if pool else [] for _ in q]
             for r, own in scheme.ranges.items():
                 mask = (1 << (2 * own.split)) - 1
@@ -210,7 +224,7 @@ def _hash_queries(scheme: Scheme, pool: bool) -> Callable:
                         groups, spent = subsets(cost[i, : own.split], step[i, : own.split], int(key[i]) & mask, limit)
                         out[i] += [{"range": r, "part": t, "bucket_group": g, "limit": limit - s} for g, s in zip(groups.tolist(), spent.tolist(), strict=True)]
             kind = pa.list_(pa.struct([("range", pa.int32()), ("part", pa.int32()), ("bucket_group", pa.int64()), ("limit", pa.float64())]))
-            yield pa.record_batch([batch.column(c) for c in ("n", "id", "v", "norm")] + [pa.array(out, kind)], names=["n", "id", "v", "norm", "probes"])
+            yield pa.record_batch([batch.column(c) for c in ("n", "id", "v")] + [pa.array(norm), pa.array(out, kind)], names=["n", "id", "v", "norm", "probes"])
 
     return run
 
@@ -302,7 +316,7 @@ def _merged(found: DataFrame, k: int) -> DataFrame:
     return once.select("*", rank).where(F.col("rank") <= k)
 
 
-def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, bits: int = BITS, target: float = TARGET, block: int = 8192, query_block: int = 4096, seed: int = 7) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, bits: int = BITS, target: float = TARGET, block: int = 65536, query_block: int = 2048, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its k nearest found in rows, nearest first."""
     spark = rows.sparkSession
     prepare(spark)
@@ -311,11 +325,12 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str = "
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = sizes[0].dim
-    asked = usable(queries, id_col, vector_col).where(F.size("v") == dim).select(F.monotonically_increasing_id().alias("n"), "id", "v", _norm().alias("norm"))
+    asked = usable(queries, id_col, vector_col).where(F.size("v") == dim).select(F.monotonically_increasing_id().alias("n"), "id", "v")
     place = F.dense_rank().over(W.partitionBy("v").orderBy("id"))
     classes = index.where(F.size("v") == dim).withColumn("place", place).where(F.col("place") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    of_norm = F.ceil(F.log("norm") / F.lit(float(np.log(STEP))) - 1e-6).cast("int")
-    classes = stored(classes.withColumn("norm", _norm()).select(F.xxhash64("v").alias("vh"), "v", "ids", "norm", of_norm.alias("range")), "classes")
+    kind = index.schema["v"].dataType.simpleString()
+    classes = classes.select(F.xxhash64("v").alias("vh"), "v", "ids").mapInArrow(_measured(dim), f"vh long, v {kind}, ids array<long>, norm double, range int")
+    classes = stored(classes, "classes")
 
     ranges = {}
     for r, n, radius in classes.groupBy("range").agg(F.count("*"), F.max("norm")).collect():  # of doubles there are under 15,000 ranges
@@ -327,8 +342,6 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 20, id_col: str = "
     sample = classes.where(F.col("range").isin(*ranges)).orderBy("vh").limit(SAMPLE).select("v").toArrow() if ranges else None
     scheme = Scheme(dim, tables, bits, seed, ranges, _matrix(sample.column("v"), dim) if sample else np.zeros((0, dim)))
 
-    kind = rows.schema[vector_col].dataType.simpleString()
-    kind = kind if kind == "array<float>" else "array<double>"
     classes = stored(classes.mapInArrow(_hash_rows(scheme), f"vh long, v {kind}, ids array<long>, range int, keys {_KEYS}"), "hashed")
     asked = stored(asked.mapInArrow(_hash_queries(scheme, pool), f"n long, id long, v {kind}, norm double, probes {_PROBES}"), "queries")
     left = asked.select("n", "id", "v", "norm", F.explode("probes").alias("p")).select("n", "id", "v", "norm", "p.*")
