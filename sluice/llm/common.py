@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: Rows of one Arrow batch of texts; a batch is cut further by bytes (CHUNK_BYTES).
 BATCH_ROWS = "512"
@@ -69,6 +70,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: A key is hot if it holds more than one in so many rows: there are fewer hot keys than this, whatever the data.
+HOT = 256
+
+
+def join_hot(rows: DataFrame, small: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """rows joined with small, which has one row a key; a left join keeps null keys.
+
+    Keys that hold over one in HOT rows are under HOT in number: they are found by a count and joined by broadcast, so no
+    task gets all rows of a hot key. All others are left to the planner.
+    """
+    counted = rows.where(F.col(key).isNotNull()).groupBy(key).count()
+    total = rows.count()
+    hot = [r[0] for r in counted.where(F.col("count") > max(total // HOT, 256)).select(key).collect()]
+    none = rows.where(F.col(key).isNull())
+    if not hot:
+        out = rows.where(F.col(key).isNotNull()).join(small, key, how)
+    else:
+        is_hot = F.col(key).isin(hot)
+        out = rows.where(~is_hot).join(small.where(~is_hot), key, how).unionByName(rows.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how))
+    return out.unionByName(none, allowMissingColumns=True) if how == "left" else out
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df does not have, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_column(df: DataFrame, name: str, kind: DataType) -> StructType:
+    """df's schema and one more column."""
+    return StructType([*df.schema.fields, StructField(name, kind)])
+
+
 def prepare(spark: SparkSession) -> None:
     """Makes this package known to the Python workers and keeps a batch of texts that goes to one small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
@@ -107,6 +146,11 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
+def appended(values: Callable[[pa.RecordBatch, list[bytes]], pa.Array], name: str, text: str = "text"):
+    """An Arrow map that appends a column of values(rows, texts), by bounded pieces of each batch."""
+    return by_chunk(lambda rows, texts: rows.append_column(name, values(rows, texts)), text)
+
+
 def by_chunk(work: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch], text: str = "text"):
     """An Arrow map that calls work(rows, texts) for bounded pieces of each batch."""
 

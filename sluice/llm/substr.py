@@ -1,19 +1,23 @@
 """Repeated passages by de Bruijn compaction over words.
 
-Every run of k words is an edge of a de Bruijn graph whose nodes are the runs of k - 1 words. An edge's first
-source coordinate is the smallest (doc_id, start) at which its words stand. Words that any later occurrence covers
-are removed; edges are judged on the input.
+Every run of k words is an edge of a de Bruijn graph from the node of its first k - 1 words to the node of its last
+k - 1. An edge's source coordinate is the smallest (doc_id, start) at which its words stand. Words that any later
+occurrence covers are removed; edges are judged on the input.
 
-Plan, for a corpus of any size (no step gathers a group: hot edges only ever meet as partial minima):
+Plan, for a corpus of any size (no step gathers a group: hot edges and nodes only ever meet as partial aggregates):
 
 1. One pass gives each document its word count, a 128-bit fingerprint of its words and the digest of its words.
    A later document with the very same words repeats whole, so only the first of such a class goes on.
 2. Edges are dealt by their minimizer (the least hash of the m-word runs inside; equal edges have equal ones). Only
    minimizers that stand in two places can hold a repeated edge: all others end here, unshuffled.
-3. Documents meet their surviving stretches once. Their edges, as 96-bit hashes of the k words, are reduced to
-   first source coordinates and occurrence counts.
-4. First coordinates that follow one another in their source are compacted to paths, and every document joins the
-   paths that begin in it. A surviving edge that is not on one of its own document's paths repeats an earlier one.
+3. Documents meet their surviving stretches once. Their edges, named by the hashes of both nodes and 32 bits more, are
+   reduced to source coordinates and occurrence counts.
+4. A node does not branch if one repeated edge enters and one leaves it, as often and in the same place of the same
+   source. Edges are joined with such nodes, and maximal runs of joined edges are compacted to paths.
+5. Every document joins the paths that begin in it. A surviving edge that is not on one of its own document's paths
+   repeats an earlier one.
+6. Spans are verified: every surviving stretch is cut at edges that a hash picks, and spans that agree in all their edges
+   must agree in the 128-bit digest of their words with the span at the source. Where two differ, edges are hashed anew.
 
 Null, empty and short texts have no edge and keep all words. Rows that repeat a doc_id are told apart by their words;
 coordinates are (doc_id, start), so equal coordinates never repeat each other. Extra columns are ignored.
@@ -22,6 +26,7 @@ coordinates are (doc_id, start), so equal coordinates never repeat each other. E
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable
 
 import numpy as np
@@ -29,12 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import BinaryType
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, signed, stored, prepare
+from sluice.llm.common import appended, by_chunk, fresh, join_hot, prepare, signed, stored, with_column
 
-#: Words of a minimizer run.
-MINIMIZER = 8
+#: Words of a minimizer run; and one in how many edges cuts a stretch into spans to verify.
+MINIMIZER, CUT = 8, 8
 
 
 def _windows(w: words.Words, k: int) -> np.ndarray:
@@ -144,28 +150,70 @@ def _marked(batch: pa.RecordBatch, w: words.Words, column: str) -> np.ndarray:
     return np.cumsum(out)[:-1] > 0
 
 
-def _edges(k: int) -> Callable:
-    """(h, g, doc_id, start, times): each document's distinct surviving edges, where they begin first and how often they stand there."""
+def _hashed_edges(batch: pa.RecordBatch, w: words.Words, k: int, seed: int) -> tuple[np.ndarray, ...]:
+    """Positions of the surviving edges, their left and right nodes, and 32 bits more."""
+    at = np.flatnonzero(_marked(batch, w, "stretches") & _windows(w, k))
+    if not len(at):
+        return (at,) * 4
+    node = words.runs(w.hashes(seed=seed), k - 1)
+    more = (words.runs(w.hashes(seed=seed + 1), k, seed=1)[at] >> np.uint64(32)).astype(np.uint32)
+    return at, node[at], node[at + 1], more
+
+
+def _edges(k: int, seed: int) -> Callable:
+    """(a, b, g, doc_id, start, times): each document's distinct surviving edges, where they begin first and how often they stand there."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
         w = words.split(texts)
-        at = np.flatnonzero(_marked(batch, w, "stretches") & _windows(w, k))
+        at, a, b, g = _hashed_edges(batch, w, k, seed)
         if not len(at):
             return None
-        h = words.runs(w.hashes(), k)[at]
-        g = (words.runs(w.hashes(seed=1), k, seed=1)[at] >> np.uint64(32)).astype(np.uint32)
         doc = np.searchsorted(w.first, at, "right") - 1
-        order = np.lexsort((at, g, h, doc))
-        h, g, doc, at = h[order], g[order], doc[order], at[order]
-        first = np.concatenate(([True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
-        begin = np.flatnonzero(first)
+        order = np.lexsort((at, g, b, a, doc))
+        a, b, g, doc, at = a[order], b[order], g[order], doc[order], at[order]
+        same = (doc[1:] == doc[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (g[1:] == g[:-1])
+        begin = np.flatnonzero(np.concatenate(([True], ~same)))
         times = np.diff(np.concatenate((begin, [len(at)]))).astype(np.int32)
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        return pa.record_batch([signed(h[begin]), pa.array(g[begin].view(np.int32)), pa.array(ids[doc[begin]]), pa.array((at - w.first[doc])[begin].astype(np.int32)), pa.array(times)], names=["h", "g", "doc_id", "start", "times"])
+        return pa.record_batch([signed(a[begin]), signed(b[begin]), pa.array(g[begin].view(np.int32)), pa.array(ids[doc[begin]]), pa.array((at - w.first[doc])[begin].astype(np.int32)), pa.array(times)], names=["a", "b", "g", "doc_id", "start", "times"])
+
+    return by_chunk(work)
+
+
+def _spans(k: int, seed: int) -> Callable:
+    """(edges, words): a hash of the edges of each span between two cuts of a stretch, and the digest of its words."""
+
+    def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
+        w = words.split(texts)
+        at, a, b, g = _hashed_edges(batch, w, k, seed)
+        if not len(at):
+            return None
+        edge = words.mix(a ^ words.mix(b ^ g.astype(np.uint64)))
+        run = np.cumsum(np.concatenate(([True], np.diff(at) != 1)))  # edges of two texts never follow one another
+        cut = np.flatnonzero(edge % np.uint64(CUT) == 0)
+        if not len(cut):
+            return None
+        last = np.concatenate((cut[1:], [0]))
+        last[-1] = cut[-1]
+        last = np.where(run[last] == run[cut], last, cut)  # a run's last cut is verified by its own words
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(edge * (np.uint64(2) * at.astype(np.uint64) + np.uint64(1)))))
+        plain = np.concatenate((np.zeros(1, np.uint64), np.cumsum(edge)))
+        # sum of edge * (2 * place + 1), where a span's first edge has place 0
+        named = total[last + 1] - total[cut] - np.uint64(2) * at[cut].astype(np.uint64) * (plain[last + 1] - plain[cut])
+        named = words.mix(named ^ words.mix(edge[cut] + (last - cut).astype(np.uint64)))
+        buffer = w.buffer.tobytes()
+        first, end = w.starts[at[cut]].tolist(), w.ends[at[last] + k - 1].tolist()
+        digests = [hashlib.blake2b(b" ".join(buffer[x:y].split()), digest_size=16).digest() for x, y in zip(first, end, strict=True)]
+        return pa.record_batch([signed(named), pa.array(digests, pa.binary())], names=["edges", "words"])
 
     return by_chunk(work)
 
 
+def clashes(spans: DataFrame) -> DataFrame:
+    """Spans (edges, words) of equal edges and different words."""
+    return spans.groupBy("edges").agg(F.min("words").alias("least"), F.max("words").alias("most")).where("least <> most")
+
+
 def _kept(k: int) -> Callable:
     """(doc_id, fp, n_removed, kept): documents that lose words, by their stretches and the paths that begin in them."""
 
@@ -190,16 +238,32 @@ def _kept(k: int) -> Callable:
     return by_chunk(work)
 
 
+def sources(edges: DataFrame) -> DataFrame:
+    """(a, b, doc_id, start, occurrences) of each edge of (a, b, g, doc_id, start, times)."""
+    return edges.groupBy("a", "b", "g").agg(F.min("doc_id").alias("doc_id"), F.expr("min_by(start, doc_id)").alias("start"), F.sum("times").alias("occurrences")).drop("g")
+
+
+def through_nodes(repeated: DataFrame) -> DataFrame:
+    """(node) of the nodes that do not branch: one edge enters, one leaves, as often, and they follow one another in their source."""
+    enters = repeated.select(F.col("b").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o"), "doc_id", (F.col("start") + 1).alias("at"), "occurrences")
+    leaves = repeated.select(F.col("a").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"), "doc_id", F.col("start").alias("at"), "occurrences")
+    same = [f"min({c}) = max({c})" for c in ("doc_id", "at", "occurrences")]
+    return enters.unionByName(leaves).groupBy("node").agg(F.expr(f"sum(i) = 1 and sum(o) = 1 and {' and '.join(same)}").alias("through")).where("through").select("node")
+
+
 def first_paths(edges: DataFrame) -> DataFrame:
-    """Compacts edges (h, g, doc_id, start, times) to paths (doc_id, start, n, occurrences).
+    """Compacts edges (a, b, doc_id, start, occurrences) to paths (doc_id, start, n, occurrences).
 
-    A path is a longest run of edges whose first coordinates follow one another and that occur equally often, so
-    that nothing branches off between them; paths of one occurrence are kept apart from repeated ones.
+    A path is a maximal run of repeated edges over nodes that do not branch, or of neighbouring edges that stand once.
     """
-    first = edges.groupBy("h", "g").agg(F.min("doc_id").alias("doc_id"), F.expr("min_by(start, doc_id)").alias("start"), F.sum("times").alias("occurrences"))
-    inside = W.partitionBy("doc_id", "occurrences").orderBy("start")
-    placed = first.select("doc_id", "start", "occurrences", (F.col("start") - F.row_number().over(inside)).alias("diagonal"))
-    return placed.groupBy("doc_id", "occurrences", "diagonal").agg(F.min("start").alias("start"), F.count("*").cast("int").alias("n")).drop("diagonal")
+    repeated = edges.where("occurrences > 1")
+    joined = repeated.join(through_nodes(repeated), F.col("a") == F.col("node"), "left").select("doc_id", "start", "occurrences", F.col("node").isNotNull().alias("goes_on"))
+    once = edges.where("occurrences = 1").select("doc_id", "start", "occurrences", F.lit(False).alias("goes_on"))
+    inside = W.partitionBy("doc_id").orderBy("start")
+    placed = joined.unionByName(once).withColumn("before", F.lag(F.when(F.col("occurrences") == 1, F.col("start"))).over(inside))
+    head = ~F.col("goes_on") & ~((F.col("occurrences") == 1) & F.coalesce(F.col("before") == F.col("start") - 1, F.lit(False)))
+    numbered = placed.select("doc_id", "start", "occurrences", F.sum(head.cast("int")).over(inside).alias("path"))
+    return numbered.groupBy("doc_id", "path").agg(F.min("start").alias("start"), F.count("*").cast("int").alias("n"), F.min("occurrences").alias("occurrences")).drop("path")
 
 
 def repeats(docs: DataFrame, *, k: int = 20, m: int = MINIMIZER) -> tuple[DataFrame, DataFrame]:
@@ -207,7 +271,7 @@ def repeats(docs: DataFrame, *, k: int = 20, m: int = MINIMIZER) -> tuple[DataFr
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stored(docs.mapInArrow(by_chunk(_documents), "doc_id long, n_words long, fp binary, sha string"), "documents")
-    classes = known.where(F.col("n_words") >= k).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"))
+    classes = known.where(F.col("n_words") >= k).groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
     places = docs.mapInArrow(_places(k, m), "h long, doc long, twice boolean")
     again = places.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.max(F.col("twice").cast("int")).alias("twice")).where("a <> b or twice = 1").select("h")
@@ -217,12 +281,15 @@ def repeats(docs: DataFrame, *, k: int = 20, m: int = MINIMIZER) -> tuple[DataFr
     by_doc = stored(by_doc.join(classes.select("doc_id").distinct(), "doc_id", "left_semi"), "stretches")
 
     touched = stored(docs.join(by_doc.hint("shuffle_hash"), "doc_id"), "touched")
-    paths = first_paths(touched.mapInArrow(_edges(k), "h long, g int, doc_id long, start int, times int"))
-    paths = stored(paths.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("paths")), "paths")
+    for seed in itertools.count(step=2):
+        if clashes(touched.mapInArrow(_spans(k, seed), "edges long, words binary")).isEmpty():
+            break
+    edges = stored(sources(touched.mapInArrow(_edges(k, seed), "a long, b long, g int, doc_id long, start int, times int")), "edges")
+    paths = stored(first_paths(edges).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("paths")), "paths")
     joined = touched.join(paths, "doc_id", "left").select("doc_id", "text", "stretches", F.coalesce("paths", F.array().cast("array<struct<start:int,n:int>>")).alias("paths"))
     changed = joined.mapInArrow(_kept(k), "doc_id long, fp binary, n_removed long, kept string")
-    first = classes.select("fp", F.col("doc_id").alias("first_id"))
-    copies = known.join(first, "fp").where("doc_id <> first_id").select("doc_id", "fp", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"))
+    first = classes.where("copies > 1").select("fp", F.col("doc_id").alias("first_id"))
+    copies = join_hot(known.where(F.col("n_words") >= k), first, "fp", "inner").where("doc_id <> first_id").select("doc_id", "fp", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"))
     return known, stored(changed.unionByName(copies).dropDuplicates(["doc_id", "fp"]), "changed")
 
 
@@ -233,16 +300,11 @@ def passage_digests(docs: DataFrame, *, k: int = 20) -> DataFrame:
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
 
 
-def _with_print(batches):
-    for batch in batches:
-        texts = [x or b"" for x in batch.column("text").cast(pa.large_binary()).to_pylist()]
-        yield batch.append_column("_fp", pa.array([fingerprint(t)[1] for t in texts], pa.binary()))
-
-
 def without_repeats(docs: DataFrame, *, k: int = 20) -> DataFrame:
     """docs with the text of each document that loses words replaced by its kept words, joined by one space."""
     _, changed = repeats(docs, k=k)
-    marked = docs.mapInArrow(_with_print, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _fp binary")
-    small = changed.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_of"), "kept")
-    joined = marked.join(small, (F.col("doc_id") == F.col("_id")) & (F.col("_fp") == F.col("_of")), "left")
-    return joined.select(*[F.coalesce("kept", "text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    key, of, doc, kept = fresh(docs, "_fp", "_of", "_id", "_kept")
+    marked = docs.mapInArrow(appended(lambda _, texts: pa.array([fingerprint(t)[1] for t in texts], pa.binary()), key), with_column(docs, key, BinaryType()))
+    small = changed.select(F.col("doc_id").alias(doc), F.col("fp").alias(of), F.col("kept").alias(kept))
+    joined = marked.join(small, (marked["doc_id"] == small[doc]) & (marked[key] == small[of]), "left")
+    return joined.select(*[F.coalesce(small[kept], marked["text"]).alias("text") if c == "text" else marked[c] for c in docs.columns])

@@ -15,6 +15,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+#: Characters that are hashed at a time (a longer word is hashed whole).
+SLAB = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASES = tuple(np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -43,16 +45,25 @@ class Words:
 
     def hashes(self, lower: bool = False, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word, A-Z lower-cased first if asked for."""
+        out = np.empty(len(self.starts), np.uint64)
+        if not len(out):
+            return out
         lens = self.ends - self.starts
-        if not len(lens):
-            return np.zeros(0, np.uint64)
-        at = np.cumsum(lens) - lens
-        c = self.buffer[~SPACE[self.buffer]]
-        pos = np.arange(len(c), dtype=np.int64)
-        pos -= np.repeat(at, lens)
-        v = _table(seed, lower)[c]
-        v *= _powers(_BASES[seed % 2], int(lens.max()))[pos]
-        return mix(np.add.reduceat(v, at) + lens.astype(np.uint64) * _ODD)
+        table, total = _table(seed, lower), np.cumsum(lens)
+        power = _powers(_BASES[seed % 2], int(lens.max()))
+        cut = np.unique(np.searchsorted(total, np.arange(0, int(total[-1]) + 1, SLAB), "left"))
+        for i, j in zip(cut, [*cut[1:], len(out)], strict=True):  # what is held by character is bounded
+            if i < j:
+                n = lens[i:j]
+                at = np.cumsum(n) - n
+                seg = self.buffer[self.starts[i] : self.ends[j - 1]]
+                c = seg[~SPACE[seg]]
+                pos = np.arange(len(c), dtype=np.int64)
+                pos -= np.repeat(at, n)
+                v = table[c]
+                v *= power[pos]
+                out[i:j] = mix(np.add.reduceat(v, at) + n.astype(np.uint64) * _ODD)
+        return out
 
 
 def split(texts: list[bytes]) -> Words:

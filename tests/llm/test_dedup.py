@@ -3,6 +3,8 @@ import hashlib
 import pytest
 
 from sluice.llm.neardup import near_duplicates
+from sluice.llm import substr
+from sluice.llm import words as words_of
 from sluice.llm.substr import passage_digests, without_repeats
 from tests.llm.conftest import SCHEMA, corpus
 
@@ -97,3 +99,57 @@ def test_texts_without_repeats(spark):
     df = spark.createDataFrame([(1, f"a\n{p}", "en", "s", 1), (2, f"b {p} c", "en", "s", 1), (3, " kept  as is ", "en", "s", 1)], SCHEMA)
     got = {r.doc_id: r.text for r in without_repeats(df).collect()}
     assert got == {1: f"a\n{p}", 2: "b c", 3: " kept  as is "}
+
+
+def test_paths_end_where_the_graph_branches(spark):
+    """Two texts go through nodes 1-2-3-4 together; one enters at 2 from 9, one leaves from 3 to 8."""
+    rows = [(1, 2, 0, 10, 0, 3), (2, 3, 0, 10, 1, 3), (3, 4, 0, 10, 2, 3), (4, 5, 0, 10, 3, 3), (9, 2, 0, 20, 0, 2), (3, 8, 0, 20, 2, 2), (5, 6, 0, 10, 4, 1), (6, 7, 0, 10, 5, 1)]
+    edges = substr.sources(spark.createDataFrame(rows, "a long, b long, g int, doc_id long, start int, times int"))
+    assert {r.node for r in substr.through_nodes(edges.where("occurrences > 1")).collect()} == {4}
+    got = {(r.doc_id, r.start, r.n, r.occurrences) for r in substr.first_paths(edges).collect()}
+    assert got == {(10, 0, 1, 3), (10, 1, 1, 3), (10, 2, 2, 3), (20, 0, 1, 2), (20, 2, 1, 2), (10, 4, 2, 1)}
+
+
+def test_sources_take_the_least_document(spark):
+    rows = [(1, 2, 0, 30, 7, 1), (1, 2, 0, 10, 5, 2), (1, 2, 1, 4, 0, 1)]
+    got = substr.sources(spark.createDataFrame(rows, "a long, b long, g int, doc_id long, start int, times int")).collect()
+    assert sorted((r.doc_id, r.start, r.occurrences) for r in got) == [(4, 0, 1), (10, 5, 3)]
+
+
+def test_spans_of_equal_edges_have_equal_words(monkeypatch):
+    """Hashes that tell no words apart are caught by the digests of the words; sound ones are not."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"{c}{i}" for i in range(60)).encode() for c in "ab"] * 2
+    whole = pa.array([[{"start": 0, "n": 41}]] * 4, pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())])))
+    batch = pa.record_batch([pa.array([t.decode() for t in texts]), whole], names=["text", "stretches"])
+
+    def seen():
+        spans = {}
+        for out in substr._spans(20, 0)(iter([batch])):
+            for r in out.to_pylist():
+                spans.setdefault(r["edges"], set()).add(r["words"])
+        return spans
+
+    assert seen() and all(len(w) == 1 for w in seen().values())
+    monkeypatch.setattr(words_of.Words, "hashes", lambda self, lower=False, seed=0: substr.np.arange(len(self.starts), dtype=substr.np.uint64) % substr.np.uint64(60))
+    assert any(len(w) > 1 for w in seen().values())
+
+
+def test_clashing_spans_are_hashed_anew(spark, monkeypatch):
+    said = iter([False, True])
+    asked = []
+    real = substr.clashes
+    monkeypatch.setattr(substr, "clashes", lambda spans: asked.append(1) or (real(spans) if next(said) else spark.range(1)))
+    rows = [(1, " ".join(f"w{i}" for i in range(30))), (2, "z " + " ".join(f"w{i}" for i in range(30)))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passage_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _removed(rows) and len(asked) == 2
+
+
+def test_texts_without_repeats_with_clashing_columns(spark):
+    p = " ".join(f"w{i}" for i in range(25))
+    rows = [(1, p, 1, b"x", "k", 4), (2, f"b {p}", 2, b"y", "l", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id int, _fp binary, kept string, _Kept int")
+    out = without_repeats(df)
+    assert out.columns == df.columns
+    assert sorted(tuple(r) for r in out.collect()) == [(1, p, 1, bytearray(b"x"), "k", 4), (2, "b", 2, bytearray(b"y"), "l", 5)]
