@@ -165,6 +165,26 @@ def test_written_shards(docs, tmp_path, spark):
     assert back.count() == docs.count() and back.select("shard").distinct().count() == d.count()
 
 
+def test_written_shards_of_repeated_ids(spark, tmp_path):
+    rows = [(i % 7, f"text {i % 13} " * 9, i, "x") for i in range(300)] + [(None, None, 300, "y"), (3, None, 301, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row int, shard string")
+    d = sharding.write_shards(df, 2000, str(tmp_path / "r"))
+    back = spark.read.parquet(str(tmp_path / "r"))
+    assert sorted(r._row for r in back.collect()) == list(range(302))
+    assert back.select("shard").distinct().count() == d.count()
+    assert sum(r.shard_docs for r in d.collect()) == 302
+
+
+def test_shards_of_a_few_long_texts(spark):
+    rows = [(i, "x" * (100_000 if i < 3 else 10)) for i in range(500)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), 1500).collect()
+    assert len(got) == 500 and sum(r.oversized for r in got) == 3
+    sums = {}
+    for r in got:
+        sums[r.prefix] = sums.get(r.prefix, 0) + r.n_bytes
+    assert all(sums[r.prefix] == r.shard_bytes for r in got)
+
+
 # packing
 def test_pieces_cover_documents_without_gaps(docs):
     from tokenizers import Tokenizer
@@ -320,6 +340,24 @@ def test_archives_round_trip(spark, tmp_path):
     assert reader.read().count(b"WARC/1.1\r\n") == files[0].records
 
 
+def test_dictionary_s_sample_is_a_rule():
+    records = [b"%d " % i * 40 for i in range(400)]
+    some = warc.dictionary(records, 4000, 50)
+    assert some == warc.dictionary(records[::-1], 4000, 50) != warc.dictionary(records, 8000, 50)
+    frames = list(warc.archive_frames(records, 4000, 50))
+    assert list(warc.read_frames(frames)) == records
+
+
+def test_a_page_of_many_copies(spark):
+    """More copies than one row in HOT: joined by broadcast."""
+    rows = [(i, "http://a/", "same " * 30 if i % 2 else f"own {i} " * 20) for i in range(2000)]
+    got = warc.read_archives(warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), archive_bytes=20_000)).collect()
+    assert len(got) == 2000
+    assert {(r.record_type, r.refers_to) for r in got if r.page_id % 2} == {("response", None), ("revisit", 1)}
+    assert [r.page_id for r in got if r.page_id % 2 and r.record_type == "response"] == [1]
+    assert {r.record_type for r in got if not r.page_id % 2} == {"response"}
+
+
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(df)).count() == 0
