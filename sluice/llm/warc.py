@@ -6,6 +6,9 @@ without their payload. Pages go to archives by a hash of their id, as many as th
 with a skippable frame that holds a dictionary trained on the archive's records; each record then is a Zstandard frame of
 its own that needs this dictionary, so any record can be read alone.
 
+The trainer sees a bounded sample: records in the order of a hash of their digest and id, the first ``piece`` bytes of
+each, until ``sample`` bytes are reached. That bounds a fit and nothing else: every record is written whole.
+
 Archives are kept as rows (archive, position, frame) of a table in the shared folder, so that any file system that
 Spark knows will do; an archive's file is its frames one after the other, and ``export`` writes such files to a mounted
 folder. Reading parses the frames only: what it returns comes from the records.
@@ -26,12 +29,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored, prepare
+from sluice.llm.common import join_hot, prepare, stored
 
 #: Format constants: the skippable frame that holds a dictionary, and a dictionary's own magic number.
 SKIPPABLE, DICTIONARY = 0x184D2A5D, 0xEC30A437
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 65536, 4 << 20, 3
+DICTIONARY_BYTES, LEVEL = 65536, 3
+#: Bytes of records that a dictionary is trained on at most, and of one record.
+SAMPLE_BYTES, PIECE_BYTES = 4 << 20, 65536
 
 
 def _own(pages: DataFrame) -> DataFrame:
@@ -44,7 +49,7 @@ def revisits(pages: DataFrame, least: int) -> DataFrame:
     """(page_id, url, digest, refers_to) of the records that revisit another; HTML goes no further than its digest."""
     rows = _own(pages).where(F.octet_length("html") >= least).select("page_id", "url", "digest")
     first = rows.where(F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("times"))
-    again = rows.join(first, "digest").where(F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to")))
+    again = join_hot(rows, first.where("times > 1"), "digest", "inner").where(F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to")))
     return again.select("page_id", "url", "digest", "refers_to").distinct()
 
 
@@ -79,15 +84,16 @@ def parse(raw: bytes) -> dict:
     return {"fields": fields, "block": block}
 
 
-def dictionary(records: list[bytes]) -> bytes:
-    """A trained dictionary, or for too few records to train on, the shortest of them."""
-    sample, size = [], 0
-    for r in records:
-        if size + len(r) <= SAMPLE_BYTES:
-            sample.append(r[:DICTIONARY_BYTES])
-            size += len(sample[-1])
+def dictionary(records: list[bytes], sample: int = SAMPLE_BYTES, piece: int = PIECE_BYTES) -> bytes:
+    """A dictionary trained on a sample of records; for too few to train on, the shortest of them."""
+    taken, size = [], 0
+    for r in sorted(records, key=lambda r: hashlib.blake2b(r, digest_size=8).digest()):
+        if size >= sample:
+            break
+        taken.append(r[:piece])
+        size += len(taken[-1])
     try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, size // 8)), sample).as_bytes()
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, size // 8)), taken).as_bytes()
     except zstandard.ZstdError:
         return min(records, key=len)[:DICTIONARY_BYTES]
 
@@ -97,9 +103,9 @@ def _loaded(content: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def archive_frames(records: list[bytes]) -> Iterator[bytes]:
+def archive_frames(records: list[bytes], sample: int = SAMPLE_BYTES, piece: int = PIECE_BYTES) -> Iterator[bytes]:
     """The frames of one archive: the dictionary's skippable frame, then one frame for each record."""
-    content = dictionary(records)
+    content = dictionary(records, sample, piece)
     yield struct.pack("<II", SKIPPABLE, len(content)) + content
     d = _loaded(content)
     d.precompute_compress(level=LEVEL)
@@ -118,12 +124,12 @@ def read_frames(frames: list[bytes]) -> Iterator[bytes]:
         yield d.decompress(f)
 
 
-def _write(date: str):
+def _write(date: str, sample: int, piece: int):
     def run(pages: pa.Table, again: pa.Table) -> pa.Table:
         to = {(r["page_id"], r["digest"]): r["refers_to"] for r in again.to_pylist()}
         rows = pages.sort_by([("page_id", "ascending"), ("digest", "ascending")]).to_pylist()
         records = [record(r["page_id"], r["url"], r["html"].encode(), r["digest"], to.get((r["page_id"], r["digest"])), date) for r in rows]
-        frames = list(archive_frames(records)) if records else []
+        frames = list(archive_frames(records, sample, piece)) if records else []
         return pa.table({"archive": pa.array([r["archive"] for r in rows[:1]] * len(frames), pa.int32()), "position": pa.array(range(len(frames)), pa.int64()), "frame": pa.array(frames, pa.binary())})
 
     return run
@@ -146,22 +152,27 @@ def _read(table: pa.Table) -> pa.Table:
     return pa.table({"page_id": pa.array(out["page_id"], pa.int64()), "payload_bytes": pa.array(out["payload_bytes"], pa.int64()), "payload_digest": pa.array(out["payload_digest"], pa.string()), "record_type": pa.array(out["record_type"], pa.string()), "refers_to": pa.array(out["refers_to"], pa.int64())})
 
 
-def write_archives(pages: DataFrame, *, least: int = 100, archive_bytes: int = 16 << 20, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def write_archives(pages: DataFrame, *, least: int = 100, archive_bytes: int = 16 << 20, sample: int = SAMPLE_BYTES, piece: int = PIECE_BYTES, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """The written archives (archive, position, frame) of pages (page_id, url, html)."""
     prepare(pages.sparkSession)
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     archives = max(1, -(-total // archive_bytes))
     archive = F.pmod(F.xxhash64("page_id", "url"), F.lit(archives)).cast("int")
-    rows = _own(pages).withColumn("archive", archive)
-    again = revisits(pages, least).toDF("page_id", "url", "digest", "refers_to").withColumn("archive", archive)
-    written = rows.groupBy("archive").cogroup(again.groupBy("archive")).applyInArrow(_write(date), "archive int, position long, frame binary")
+    rows = _own(pages).withColumn("archive", archive).repartition(archives, "archive")
+    again = revisits(pages, least).toDF("page_id", "url", "digest", "refers_to").withColumn("archive", archive).repartition(archives, "archive")
+    written = rows.groupBy("archive").cogroup(again.groupBy("archive")).applyInArrow(_write(date, sample, piece), "archive int, position long, frame binary")
     return stored(written, "warc")
 
 
+def _by_archive(archives: DataFrame) -> DataFrame:
+    """As many partitions as archives, so that a task holds few whatever the session's setting."""
+    return archives.repartition((archives.agg(F.max("archive")).first()[0] or 0) + 1, "archive")
+
+
 def read_archives(archives: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record."""
     prepare(archives.sparkSession)
-    return archives.groupBy("archive").applyInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return _by_archive(archives).groupBy("archive").applyInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def _export(folder: str):
@@ -178,4 +189,4 @@ def _export(folder: str):
 
 def export(archives: DataFrame, folder: str) -> DataFrame:
     """Writes each archive as a .warc.zst file to a folder that all executors have mounted: (file, records)."""
-    return archives.groupBy("archive").applyInArrow(_export(folder), "file string, records long")
+    return _by_archive(archives).groupBy("archive").applyInArrow(_export(folder), "file string, records long")
