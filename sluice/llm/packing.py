@@ -7,12 +7,16 @@ are one count, which is split where fewer pieces than packs are left. Every plac
 length with ranks from a to b go to the sequences from s on, at one offset. Pieces are numbered within their length
 (salted by hash, so that a length that a third of all pieces have is no single group) and look up their slot.
 
+Where a tokenizer's own file says that it normalizes and splits texts by the rules in ``WORD_RULES``, a text's ids are
+those of its words one after the other, and words are remembered; with any other tokenizer each text is encoded whole.
+
 Null and empty texts are the end id alone. Repeated rows are packed each. Extra columns are ignored. Texts are
 tokenized whole; ``cache`` words at most are remembered by a worker.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -37,6 +41,20 @@ _PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa0-\xff]*").fullmatch
 _L, _N = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 _SPLIT = re.compile(rf"[{_L}]+(?:[^\s{_N}{_L}]*'[^\s]*)?|[{_N}]|[^\s{_L}{_N}']+(?:'[^\s]*)?|'[^\s]*").findall
 _SPECIAL = re.compile(r"<\|(startoftext|endoftext)\|>").search
+#: The normalizer and the pre-tokenizer, as a tokenizer's JSON file states them, under which _SPLIT's parts
+#: are encoded one by one.
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: The added tokens that _SPECIAL knows of; a tokenizer with others is not split by words.
+KNOWN_SPECIAL = {"<|startoftext|>", "<|endoftext|>"}
 _PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
 
 
@@ -48,17 +66,24 @@ def _little(ids: list[int]) -> bytes:
 
 
 #: Of this process, by tokenizer: a worker that runs many tasks keeps its words.
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
 def encoder_of(tokenizer: str, cache: int) -> Encoder:
-    key = hash(tokenizer)
+    key = zlib.crc32(tokenizer.encode()), len(tokenizer)
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(tokenizer, cache)
     return _ENCODERS[key]
 
 
+def splits_by_words(tokenizer: str) -> bool:
+    """Whether the tokenizer's file states the rules by which texts are split here."""
+    told = json.loads(tokenizer)
+    same = all(told.get(k) == rule for k, rule in WORD_RULES.items())
+    return same and told["model"].get("type") == "BPE" and not told["model"].get("dropout") and {t["content"] for t in told.get("added_tokens", ())} <= KNOWN_SPECIAL
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, with a bounded memory of words."""
 
@@ -67,6 +92,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_str(tokenizer).encode_batch_fast
+        self.by_words = splits_by_words(tokenizer)
         self.known: dict[str, bytes] = {}
         self.cache = cache
 
@@ -74,7 +100,7 @@ class Encoder:
         return [_little(e.ids) for e in self.encode(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [_PLAIN(t) is not None and not _SPECIAL(t) for t in texts]
+        plain = [self.by_words and _PLAIN(t) is not None and not _SPECIAL(t) for t in texts]
         split = [_SPLIT(t.lower()) if p else () for t, p in zip(texts, plain, strict=True)]
         known = self.known
         if len(known) > self.cache:

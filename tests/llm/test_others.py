@@ -222,6 +222,62 @@ def test_ids_equal_the_tokenizers():
         assert np.frombuffer(raw, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
 
 
+def test_ids_equal_those_of_every_public_tokenizer():
+    """Also of files whose rules differ a little from those that texts are split by."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    other = json.loads(packing.public_tokenizer("byte_bpe_50k.json"))
+    known = json.loads(TOKENIZER)
+    cased, marked = json.loads(TOKENIZER), json.loads(TOKENIZER)
+    cased["normalizer"]["normalizers"] = cased["normalizer"]["normalizers"][:2]
+    marked["added_tokens"][0]["content"] = "again"
+    texts = ["It's  THREE 3.14 x²½\nÀÉ ß again and again", "", "  ", "<|endoftext|> hi", "Don''ll!'sab", *(c[1] for c in corpus()[:40] if c[1])]
+    for told, fast in ((other, False), (known, True), (cased, False), (marked, False)):
+        content = json.dumps(told)
+        assert packing.splits_by_words(content) == fast
+        t, e = Tokenizer.from_str(content), packing.Encoder(content, 50)
+        for x, raw in zip(texts, e(texts), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+
+
+def _naive(histogram, sequence):
+    """Piece by piece: into the emptiest pack that takes it, else into a new one; how many packs are how full."""
+    packs = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            fit = min((f for f in packs if f + length <= sequence), default=None)
+            if fit is None:
+                packs.append(length)
+            else:
+                packs[packs.index(fit)] += length
+    return sorted(packs)
+
+
+def test_packs_equal_a_naive_packer_s():
+    rng = random.Random(9)
+    for _ in range(200):
+        sequence = rng.choice([10, 16, 37])
+        histogram = {rng.randint(1, sequence): rng.randint(1, 30) for _ in range(rng.randint(1, 8))}
+        fill, ranks = {}, {}
+        for length, rank, n, first, offset in packing.place(histogram, sequence):
+            assert rank == ranks.get(length, 0)
+            ranks[length] = rank + n
+            for s in range(first, first + n):
+                assert fill.get(s, 0) == offset
+                fill[s] = offset + length
+        assert ranks == histogram
+        assert sorted(fill.values()) == _naive(histogram, sequence)
+
+
+def test_packing_of_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a few words of text")] * 5 + [(1, "other")], "doc_id long, text string")
+    rows = packing.pack(df, TOKENIZER, sequence=8).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows) >= 6
+    assert sorted(r.doc_tokens for r in rows if r.start == 0) == [2] + [6] * 5 and sum(r.length for r in rows) == 32
+
+
 def test_shortest_pack_first():
     slots = packing.place({10: 3, 6: 2, 4: 5}, 10)
     placed = sum(s[2] for s in slots)
