@@ -4,23 +4,27 @@ A window of as many words as a benchmark item is a leak of it if the weighted Ja
 shingles (each weighted by how often it stands there) is ``percent`` or more. A text of fewer words than the item is one
 window. Words are runs of non-space bytes, A-Z lower-cased.
 
-Every text is read whole, once per block of items, and nothing is shuffled:
+Every text is read whole, once for every ``scan_bytes`` of items, and nothing is shuffled:
 
 1. A count filter that is exact: similarity s of two bags of m shingles needs 2 s m / (1 + s) shingles in common, so
    only windows with that many shingles of some item go on. For a whole text of m' shingles it is s (m + m') / (1 + s);
    what passes is verified without a fingerprint.
-2. A window's fingerprint is a 128-bit SimHash of its words. Fingerprints are compared with the items' through a
-   multi-index of 16 blocks of 8 bits: within Hamming distance 47, some block differs in 2 bits at most, so the index
-   misses none within that radius. A window at 75 % shingle similarity differs in about 20 bits (deviation 4).
-3. What is found is verified exactly; each (document, item) keeps its best and earliest window.
-
-Items go in blocks of at most ``block_bytes`` of text, so what a task holds is bounded whatever the benchmark's size.
+2. A window's fingerprint is a 252-bit SimHash of its shingles, the i-th copy of one counting as a shingle of its own, so
+   that the cosine behind it is the share of shingles in common whatever repeats. A window at 75 % shares 6/7 of them and
+   differs in 43 bits (deviation 6). Fingerprints are looked up in a multi-index of 14 blocks of 18 bits: within Hamming
+   distance 69 some block differs in 4 bits at most, so every fingerprint of the radius is found, by the items' blocks
+   with up to 2 bits flipped and the window's with up to 2 more. Of random pairs 19 % share such a block.
+3. What is found within the radius is verified exactly; each (document, item) keeps its best and earliest window.
+
+What a task holds is bounded whatever the benchmark's size: items go in blocks of at most ``block_bytes`` of text, a
+scan takes blocks of ``scan_bytes`` in sum, and the indexes of ``KEPT`` item lengths at most are remembered.
 Items of fewer than k words count as one shingle; empty or null ones and empty documents match nothing. Repeated rows
 each give their own result rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,45 +35,104 @@ from pyspark.sql import functions as F
 from sluice.llm import words
 from sluice.llm.common import by_chunk, mix, prepare
 
-BITS, BLOCKS, RADIUS = 128, 16, 47
+#: A block's value may differ in 2 * FLIPS bits; a radius under BLOCKS * (2 * FLIPS + 1) is guaranteed.
+BITS, BLOCKS, FLIPS, RADIUS, KEPT = 252, 14, 2, 69, 64
 _REGION = 8192
-_POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+
+_WIDE = BITS // BLOCKS
+_MASKS = np.array([sum(1 << i for i in c) for n in range(FLIPS + 1) for c in itertools.combinations(range(_WIDE), n)], np.int32)
+_SEEDS = tuple(np.uint64(x) for x in (0xA5A5A5A5A5A5A5A5, 0x0F1E2D3C4B5A6978, 0x3C6EF372FE94F82B, 0x510E527FADE682D1))
 
 
 def _votes(h: np.ndarray) -> np.ndarray:
-    """+1 or -1 of each word for each bit."""
-    both = np.stack([mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), mix(h ^ np.uint64(0x0F1E2D3C4B5A6978))], axis=1)
-    bits = np.unpackbits(both.view(np.uint8).reshape(len(h), BITS // 8), axis=1)
+    """+1 or -1 of each shingle for each bit."""
+    parts = np.stack([mix(h ^ s) for s in _SEEDS], axis=1)
+    bits = np.unpackbits(parts.view(np.uint8).reshape(len(h), 32), axis=1)[:, :BITS]
     return bits.astype(np.int32) * 2 - 1
 
 
-def _fingerprints(h: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    """16 bytes for each window h[s:s+n]."""
-    total = np.zeros((len(h) + 1, BITS), np.int32)
-    np.cumsum(_votes(h), axis=0, out=total[1:])
-    return np.packbits(total[starts + n] > total[starts], axis=1)
+def _numbered(bag: np.ndarray) -> np.ndarray:
+    """A bag as a set: the i-th copy of a shingle is one of its own."""
+    order = np.argsort(bag, kind="stable")
+    own = bag[order]
+    new = np.concatenate(([True], own[1:] != own[:-1]))
+    first = np.flatnonzero(new)
+    copy = np.arange(len(own)) - np.repeat(first, np.diff(np.concatenate((first, [len(own)]))))
+    return own + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _print(bag: np.ndarray) -> np.ndarray:
+    """The fingerprint of one bag of shingles, as BITS zeros and ones."""
+    return (_votes(_numbered(bag)).sum(axis=0) > 0).astype(np.uint8)
+
+
+def fingerprints(sh: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    """Of each window sh[s:s+m], as BITS zeros and ones."""
+    total = np.zeros((len(sh) + 1, BITS), np.int32)
+    np.cumsum(_votes(sh), axis=0, out=total[1:])
+    out = (total[starts + m] > total[starts]).astype(np.uint8)
+    order = np.argsort(sh, kind="stable")
+    before = np.full(len(sh), -1)
+    same = sh[order[1:]] == sh[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    latest = words.sliding(before, m, np.maximum)[starts]
+    for i in np.flatnonzero(latest >= starts):  # a shingle stands twice in the window
+        out[i] = _print(sh[starts[i] : starts[i] + m])
+    return out
+
+
+def _values(prints: np.ndarray) -> np.ndarray:
+    """(fingerprint, block): each block's bits as a number, with the block's own number above them."""
+    value = prints.reshape(-1, BLOCKS, _WIDE) @ (1 << np.arange(_WIDE, dtype=np.int64))
+    return value + (np.arange(BLOCKS, dtype=np.int64) << _WIDE)
+
+
+class Index:
+    """Multi-index of the fingerprints of items of one length."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        keys = (_values(prints)[:, :, None] ^ _MASKS).reshape(-1).astype(np.int32)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.item = keys[order], (order // (BLOCKS * len(_MASKS))).astype(np.int32)
+
+    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(fingerprint, item) pairs of which some block differs in 2 * FLIPS bits at most."""
+        out = [np.zeros(0, np.int64)]
+        for a in range(0, len(prints), 256):
+            wanted = (_values(prints[a : a + 256])[:, :, None] ^ _MASKS).reshape(-1).astype(np.int32)
+            begin = np.searchsorted(self.keys, wanted)
+            hit = np.flatnonzero(self.keys[np.minimum(begin, len(self.keys) - 1)] == wanted)
+            begin, end = begin[hit], np.searchsorted(self.keys, wanted[hit], "right")
+            n = end - begin
+            at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            out.append(np.unique((np.repeat(hit // (BLOCKS * len(_MASKS)), n) + a) * len(self.prints) + self.item[at]))
+        return np.divmod(np.concatenate(out), len(self.prints))
+
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs within the radius."""
+        x, y = self.candidates(prints)
+        keep = (prints[x] != self.prints[y]).sum(axis=1) <= RADIUS
+        return x[keep], y[keep]
 
 
 class Items:
-    """Benchmark items of one block: shingle bags, fingerprints and the multi-index."""
+    """Benchmark items of one block: shingle bags, and the multi-indexes of their fingerprints by length."""
 
     def __init__(self, ids: list[int], texts: list[bytes], k: int, percent: int):
         self.k, self.percent = k, percent
         w = words.split(texts)
         h = w.hashes(lower=True)
-        self.ids, self.n, self.bags, prints = [], [], [], []
+        self.ids, self.n, self.bags = [], [], []
         for i, item in enumerate(ids):
             own = h[w.first[i] : w.first[i + 1]]
             if len(own):
                 self.ids.append(item)
                 self.n.append(len(own))
                 self.bags.append(np.unique(words.runs(own, min(k, len(own))), return_counts=True))
-                prints.append(_fingerprints(own, np.array([0]), len(own))[0])
         self.ids = np.array(self.ids, np.int64)
         self.n = np.array(self.n, np.int64)
-        self.prints = np.array(prints, np.uint8).reshape(len(prints), BITS // 8)
-        near = _POPCOUNT[np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :]] <= RADIUS // BLOCKS
-        self.index = [near[:, self.prints[:, b]] for b in range(BLOCKS)]  # by block and value: which items are near
+        self.indexes: dict[int, Index] = {}
         self.known = {}
         for size in sorted(set(np.minimum(self.n, k).tolist())):
             self.known[size] = np.unique(np.concatenate([b[0] for b, n in zip(self.bags, self.n, strict=True) if min(n, k) == size]))
@@ -77,12 +140,12 @@ class Items:
     def near(self, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of n-word items within the radius of the windows' fingerprints."""
         own = np.flatnonzero(self.n == n)
-        found = np.zeros((len(prints), len(own)), bool)
-        for b in range(BLOCKS):
-            found |= self.index[b][prints[:, b]][:, own]
-        x, y = np.nonzero(found)
-        far = _POPCOUNT[prints[x] ^ self.prints[own[y]]].sum(axis=1)
-        return x[far <= RADIUS], own[y[far <= RADIUS]]
+        if n not in self.indexes:
+            if len(self.indexes) >= KEPT:
+                self.indexes.clear()
+            self.indexes[n] = Index(np.array([_print(np.repeat(*self.bags[i])) for i in own]))
+        x, y = self.indexes[n].near(prints)
+        return x, own[y]
 
     def similarity(self, bag: np.ndarray, item: int) -> tuple[int, int]:
         """Weighted intersection and union of a window's shingles with an item's."""
@@ -105,10 +168,16 @@ def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return out
 
 
-def leaks_in(texts: list[bytes], items: Items) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(text number, item number, start, words, intersection, union) of the best window of each text and item."""
+def leaks_in(texts: list[bytes], blocks: list[Items]) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(text number, item_id, start, words, intersection, union) of the best window of each text and item."""
     w = words.split(texts)
     h = w.hashes(lower=True)
+    for items in blocks:
+        for doc, item, *found in _leaks(w, h, items):
+            yield doc, int(items.ids[item]), *found
+
+
+def _leaks(w: words.Words, h: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int, int, int]]:
     end = np.repeat(w.first[1:], w.counts)
     for size, known in items.known.items():
         if len(h) < size:
@@ -141,7 +210,7 @@ def leaks_in(texts: list[bytes], items: Items) -> Iterator[tuple[int, int, int,
             for a, b in zip(cut, [*cut[1:], len(s)], strict=True):
                 starts = s[a:b]
                 base = int(starts[0])
-                prints = _fingerprints(h[base : int(starts[-1]) + n], starts - base, n)
+                prints = fingerprints(sh[base : int(starts[-1]) + m], starts - base, m)
                 for x, item in zip(*items.near(prints, n), strict=True):
                     at = int(starts[x])
                     same, union = items.similarity(sh[at : at + m], item)
@@ -153,35 +222,43 @@ def leaks_in(texts: list[bytes], items: Items) -> Iterator[tuple[int, int, int,
             yield doc, item, start, n, same, union
 
 
-def _search(items: Items):
+def _search(blocks: list[Items]):
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
-        rows = list(leaks_in(texts, items))
+        rows = list(leaks_in(texts, blocks))
         if not rows:
             return None
         doc, item, start, n, same, union = (np.array(x, np.int64) for x in zip(*rows, strict=True))
         ids = batch.column("doc_id").take(pa.array(doc))
-        return pa.record_batch([ids, pa.array(items.ids[item]), pa.array(start), pa.array(n), pa.array(same / union)], names=["doc_id", "item_id", "start", "n_words", "similarity"])
+        return pa.record_batch([ids, pa.array(item), pa.array(start), pa.array(n), pa.array(same / union)], names=["doc_id", "item_id", "start", "n_words", "similarity"])
 
     return by_chunk(work)
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[int], list[bytes]]]:
+def _scans(items: DataFrame, k: int, percent: int, block_bytes: int, scan_bytes: int) -> Iterator[list[Items]]:
+    """The blocks of items of each scan."""
+    blocks: list[Items] = []
     ids: list[int] = []
     texts: list[bytes] = []
-    size = 0
+    size = whole = 0
     for row in items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
         t = row.text.encode()
         if texts and size + len(t) > block_bytes:
-            yield ids, texts
+            blocks.append(Items(ids, texts, k, percent))
             ids, texts, size = [], [], 0
+            if whole + len(t) > scan_bytes:
+                yield blocks
+                blocks, whole = [], 0
         ids.append(row.item_id)
         texts.append(t)
         size += len(t)
+        whole += len(t)
     if texts:
-        yield ids, texts
+        blocks.append(Items(ids, texts, k, percent))
+    if blocks:
+        yield blocks
 
 
-def leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, block_bytes: int = 1 << 20) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, block_bytes: int = 1 << 20, scan_bytes: int = 1 << 24) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity): each document's best window for each item that it leaks.
 
     start counts the words before the window.
@@ -191,26 +268,22 @@ def leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, b
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, start long, n_words long, similarity double"
     out = spark.createDataFrame([], schema)
-    for ids, texts in _blocks(items, block_bytes):
-        block = Items(ids, texts, k, percent)
-        if len(block.ids):
-            out = out.unionByName(docs.mapInArrow(_search(block), schema))
+    for blocks in _scans(items, k, percent, block_bytes, scan_bytes):
+        out = out.unionByName(docs.mapInArrow(_search(blocks), schema))
     return out
 
 
-def _clean(items: Items):
+def _clean(blocks: list[Items]):
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        bad = {row[0] for row in leaks_in(texts, items)}
+        bad = {row[0] for row in leaks_in(texts, blocks)}
         return batch.filter(pa.array([i not in bad for i in range(len(texts))], pa.bool_()))
 
     return by_chunk(work)
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, block_bytes: int = 1 << 20) -> DataFrame:
-    """docs less the rows that leak an item; a filter of the scan, once per block of items."""
+def without_leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 75, block_bytes: int = 1 << 20, scan_bytes: int = 1 << 24) -> DataFrame:
+    """docs less the rows that leak an item; a filter of the scan, once for every ``scan_bytes`` of items."""
     prepare(docs.sparkSession)
-    for ids, texts in _blocks(items, block_bytes):
-        block = Items(ids, texts, k, percent)
-        if len(block.ids):
-            docs = docs.mapInArrow(_clean(block), docs.schema)
+    for blocks in _scans(items, k, percent, block_bytes, scan_bytes):
+        docs = docs.mapInArrow(_clean(blocks), docs.schema)
     return docs

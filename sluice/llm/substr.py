@@ -52,23 +52,12 @@ def _windows(w: words.Words, k: int) -> np.ndarray:
     return ok
 
 
-def _sliding(x: np.ndarray, size: int, least: np.ufunc) -> np.ndarray:
-    """least.reduce of x[i:i+size] for each i that has size values."""
-    if len(x) < size:
-        return x[:0]
-    width, y = 1, x
-    while 2 * width <= size:
-        y = least(y[:-width], y[width:])
-        width *= 2
-    return least(y[: len(x) - size + 1], y[size - width :][: len(x) - size + 1])
-
-
 def _minimizers(w: words.Words, h: np.ndarray, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word position: the edge's minimizer (0 where no edge begins), and the hashes of the m-word runs."""
     ok = _windows(w, k)
     small = words.runs(h, m)
     least = np.zeros(len(h), np.uint64)
-    slid = _sliding(small, k - m + 1, np.minimum)
+    slid = words.sliding(small, k - m + 1, np.minimum)
     least[: len(slid)] = slid
     least[~ok] = 0
     return ok, least, small
@@ -101,7 +90,7 @@ def _places(k: int, m: int) -> Callable:
             return None
         # a run is a minimizer's place if it is the least of some edge around it, so no less than their greatest minimizer
         padded = np.concatenate((np.zeros(k - m, np.uint64), least[: len(small)]))
-        place = np.flatnonzero(small == _sliding(padded, k - m + 1, np.maximum))
+        place = np.flatnonzero(small == words.sliding(padded, k - m + 1, np.maximum))
         doc = np.searchsorted(w.first, place, "right") - 1
         value = small[place]
         order = np.lexsort((value, doc))

@@ -100,6 +100,17 @@ def runs(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return mix(out + np.uint64(k * int(_ODD) % (1 << 64)))
 
 
+def sliding(x: np.ndarray, size: int, least: np.ufunc) -> np.ndarray:
+    """least.reduce of x[i:i+size] for each i that has size values."""
+    if len(x) < size:
+        return x[:0]
+    width, y = 1, x
+    while 2 * width <= size:
+        y = least(y[:-width], y[width:])
+        width *= 2
+    return least(y[: len(x) - size + 1], y[size - width :][: len(x) - size + 1])
+
+
 def shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all k-word runs of each text, one of the whole text if it has fewer words; and how many each has."""
     counts = w.counts

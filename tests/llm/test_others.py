@@ -369,6 +369,40 @@ def test_leaks_match_brute_force(spark, docs, none):
     assert decontam.leaks(docs, bench).count() >= 0
 
 
+def test_multi_index_finds_all_within_the_radius_and_few_others():
+    rng = np.random.default_rng(1)
+    items = rng.integers(0, 2, (40, decontam.BITS)).astype(np.uint8)
+    index = decontam.Index(items)
+    prints = items[rng.integers(0, 40, 300)]
+    for i, p in enumerate(prints):
+        p[rng.choice(decontam.BITS, i % (decontam.RADIUS + 1), replace=False)] ^= 1
+    far = (prints[:, None, :] != items[None]).sum(axis=2)
+    x, y = index.near(prints)
+    assert set(zip(x.tolist(), y.tolist(), strict=True)) == set(zip(*(a.tolist() for a in np.nonzero(far <= decontam.RADIUS)), strict=True))
+    x, _ = index.candidates(rng.integers(0, 2, (300, decontam.BITS)).astype(np.uint8))
+    assert len(x) / (300 * 40) < 0.25  # of unlike pairs
+
+
+def test_windows_that_repeat_a_word_are_found(spark):
+    """A run of equal words replaced by another: 75 % in common by weight, though the vectors of counts differ much."""
+    own = words(random.Random(3), 100)
+    item, text = [*own, *["aa"] * 16], [*own, *["bb"] * 16]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join([*text, "end"]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.start, r.similarity) for r in decontam.leaks(docs, bench).collect()}
+    assert got == {i: (0, pytest.approx(96 / 128)) for i in (1, 2)}
+
+
+def test_one_scan_for_many_blocks(spark):
+    rows = [(i, " ".join(words(random.Random(i), 12))) for i in range(40)]
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string")
+    for scan_bytes, scans in ((1 << 20, 1), (1000, 3)):
+        out = decontam.leaks(df, bench, block_bytes=200, scan_bytes=scan_bytes)
+        assert {(r.doc_id, r.item_id) for r in out.collect()} == {(i, i) for i in range(40)}
+        made = list(decontam._scans(bench, 5, 75, 200, scan_bytes))
+        assert (len(made) == 1) == (scans == 1) and sum(len(b.ids) for m in made for b in m) == 40
+
+
 # warc
 def test_archives_round_trip(spark, tmp_path):
     big = "<p>payload</p>" * 20
