@@ -7,7 +7,8 @@ length-weighted mean of the lines' forward-backward marginals, calibrated by a l
 score.
 
 Chains of all documents of a batch are run at once by a logarithmic scan of 2 x 2 matrix products; a document's
-first line has a matrix that forgets what came before. So a text of any number of lines costs no Python loop.
+first line has a matrix that forgets what came before. So a text of any number of lines costs no Python loop. A text of
+over a MiB goes by pieces of its lines, with the same result: the whole chain is run over what features sum up to.
 
 Labels are learned from at most ``most`` labelled documents (the least by a hash of doc_id) of at most ``most_lines``
 lines each: the only bound here, and one on the fit alone. Scoring reads every whole text. Null and empty texts are
@@ -22,10 +23,13 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, label_fold, prepare
+from sluice.llm.common import appended, by_chunk, fresh, label_fold, prepare, with_column
+from sluice.llm.words import SLAB
 
 _CLASS = np.full(256, 7, np.uint8)
 for _i, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b".,;:'\"()-?", b"!", b"|")):
@@ -37,16 +41,24 @@ _CLASSES = 11
 
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of every line, its length in bytes, and how many lines each text has."""
+    return _line_features(texts)[:3]
+
+
+def _line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """And a hash of each line's words."""
     buffer = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     per_text = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
     ends = np.flatnonzero(buffer == 10)
     n = len(ends)
     starts = np.concatenate(([0], ends[:-1] + 1))
     lens = ends - starts
-    of = np.repeat(np.arange(n, dtype=np.int64), lens + 1)
-    of *= _CLASSES
-    of += _CLASS[buffer]
-    counts = np.bincount(of, minlength=n * _CLASSES).reshape(n, _CLASSES)[:, :9].astype(np.float64)
+    counts = np.zeros((n, _CLASSES))
+    for a in range(0, len(buffer), SLAB):  # what is held by character is bounded, however long a line
+        b = min(a + SLAB, len(buffer))
+        i, j = np.searchsorted(ends, a), np.searchsorted(ends, b - 1) + 1
+        of = np.repeat(np.arange(j - i), np.minimum(ends[i:j] + 1, b) - np.maximum(starts[i:j], a)) * _CLASSES
+        counts[i:j] += np.bincount(of + _CLASS[buffer[a:b]], minlength=(j - i) * _CLASSES).reshape(j - i, _CLASSES)
+    counts = counts[:, :9]
     w = words.split(texts)
     h = w.hashes(lower=True)
     line = np.searchsorted(ends, w.starts)
@@ -72,7 +84,17 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         np.minimum(counts[:, 5:8].sum(axis=1) / some, 4), repeats / some, distinct / some, before, n_words == 0, n_words == 1,
         np.minimum(counts[:, 6] / some, 2), counts[:, 8] / (letters + counts[:, 8] + 1),
     ])
-    return f, lens.astype(np.float64), per_text
+    return f, lens.astype(np.float64), per_text, whole
+
+
+def _pieces(text: bytes, most: int):
+    """Runs of whole lines of about ``most`` bytes; a longer line is one."""
+    at = 0
+    while at <= len(text):
+        end = text.find(b"\n", min(at + most, len(text)))
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end + 1
 
 
 def with_neighbours(f: np.ndarray, per_text: np.ndarray) -> np.ndarray:
@@ -132,6 +154,39 @@ def marginals(unary: np.ndarray, transition: np.ndarray, per_text: np.ndarray) -
     return node[:, 1], pair
 
 
+def long_marginals(unary: np.ndarray, transition: np.ndarray, size: int = 1 << 16) -> np.ndarray:
+    """P(line is good) of one text, ``size`` lines at a time."""
+    n, t = len(unary), np.exp(transition)
+    psi = lambda a, b: np.exp(np.clip(unary[a:b, None], -60, 60) / 2 * np.array([-1.0, 1.0]))
+    alpha, carry = np.empty((n, 2)), np.ones(2)
+    for a in range(0, n, size):
+        b = min(a + size, n)
+        m = t[None] * psi(a, b)[:, None, :]
+        if a == 0:
+            m[0] = psi(0, 1)[0]
+        own = carry @ _scan(m / m.sum(axis=(1, 2), keepdims=True))
+        alpha[a:b] = own / own.sum(axis=1, keepdims=True)
+        carry = alpha[b - 1]
+    out, after = np.empty(n), np.ones(2)
+    for a in range((n - 1) // size * size, -1, -size):
+        b = min(a + size, n)
+        beta = np.empty((b - a, 2))
+        beta[-1] = after
+        if b - a > 1:
+            m = np.swapaxes((t[None] * psi(a + 1, b)[:, None, :])[::-1], 1, 2)
+            beta[:-1] = (after @ _scan(m / m.sum(axis=(1, 2), keepdims=True)))[::-1]
+        beta /= beta.sum(axis=1, keepdims=True)
+        both = alpha[a:b] * beta
+        out[a:b] = both[:, 1] / both.sum(axis=1)
+        after = t @ (psi(a, a + 1)[0] * beta[0])
+        after /= after.sum()
+    return out
+
+
+#: Place of the feature that a line stood in the text before.
+_BEFORE = 16
+
+
 class Field:
     """The fitted field: feature scales, weights, transitions and the score's calibration."""
 
@@ -148,8 +203,34 @@ class Field:
         share = np.clip(share, 1e-6, 1 - 1e-6)
         return np.log(share / (1 - share))
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.a * self.good(*line_features(texts)) + self.b)))
+    def good_long(self, text: bytes, most: int) -> float:
+        """The same of one long text: features by pieces of lines, then the chain of all its lines."""
+        d = len(self.mean)
+        by_place = self.weights[: 3 * d].reshape(3, d).T
+        sums, lens, seen = [], [], np.zeros(0, np.uint64)
+        for piece in _pieces(text, most):
+            f, n, _, whole = _line_features([piece])
+            f[:, _BEFORE] = np.maximum(f[:, _BEFORE], np.isin(whole, seen) & (f[:, _BEFORE + 1] == 0))
+            seen = np.union1d(seen, whole)
+            sums.append(((f - self.mean) / self.scale) @ by_place)
+            lens.append(n)
+        own, before, after = np.concatenate(sums).T
+        unary = own + self.weights[-1]
+        unary[1:] += before[:-1]
+        unary[:-1] += after[1:]
+        unary[0] += self.weights[-3]
+        unary[-1] += self.weights[-2]
+        weight = np.concatenate(lens) + 1
+        share = np.clip((long_marginals(unary, self.transition) * weight).sum() / weight.sum(), 1e-6, 1 - 1e-6)
+        return float(np.log(share / (1 - share)))
+
+    def score(self, texts: list[bytes], most: int = SLAB) -> np.ndarray:
+        good = np.empty(len(texts))
+        long = np.fromiter((len(t) > most for t in texts), bool, len(texts))
+        if not long.all():
+            good[~long] = self.good(*line_features([t for t, x in zip(texts, long, strict=True) if not x]))
+        good[long] = [self.good_long(t, most) for t, x in zip(texts, long, strict=True) if x]
+        return 1 / (1 + np.exp(-(self.a * good + self.b)))
 
 
 def _adam(x: np.ndarray, gradient: Callable, steps: int, rate: float) -> np.ndarray:
@@ -206,10 +287,15 @@ def _line_rows(most_lines: int) -> Callable:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn, most: int) -> DataFrame:
-    """At most ``most`` rows (doc_id, text, label) of docs whose label is 0 or 1 and for which ``learn`` holds."""
+    """At most ``most`` rows (doc_id, text, label) of docs whose label is 0 or 1 and for which ``learn`` holds.
+
+    Of rows that repeat a doc_id one is taken (the least by a hash of its text), so what is gathered is bounded.
+    """
     own = labels.where(F.col(label).isin(0, 1)).where(learn).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).alias("label"))
     own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # no more rows than the parameter, so a bounded broadcast
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(own), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(own), "doc_id")
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy("_text"))
+    return rows.withColumn("_text", F.xxhash64("text")).withColumn("_place", place).where("_place = 1").drop("_text", "_place")
 
 
 def train(docs: DataFrame, labels: DataFrame, learn, *, label: str = "quality", most: int = 3000, most_lines: int = 400) -> Field | None:
@@ -223,12 +309,12 @@ def train(docs: DataFrame, labels: DataFrame, learn, *, label: str = "quality",
     return fit(f.reshape(int(per_text.sum()), -1), np.concatenate(lens), per_text, y)
 
 
-def _scores(model) -> Callable:
-    def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        score = model.score(texts) if model is not None else np.full(len(texts), 0.5)
-        return pa.record_batch([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
+def _score(model, texts: list[bytes]) -> pa.Array:
+    return pa.array(model.score(texts) if model is not None else np.full(len(texts), 0.5))
 
-    return by_chunk(work)
+
+def _scores(model) -> Callable:
+    return by_chunk(lambda batch, texts: pa.record_batch([batch.column("doc_id"), _score(model, texts)], names=["doc_id", "score"]))
 
 
 def score_documents(docs: DataFrame, model) -> DataFrame:
@@ -244,19 +330,10 @@ def quality(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int
     return scored.select("doc_id", (label_fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _with_score(model) -> Callable:
-    def run(batches):
-        for batch in batches:
-            texts = [x or b"" for x in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            score = model.score(texts) if model is not None and texts else np.full(len(texts), 0.5)
-            yield batch.append_column("_score", pa.array(score))
-
-    return run
-
-
 def good_documents(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, threshold: float = 0.5, **options) -> DataFrame:
     """docs less those whose score is under the threshold."""
     prepare(docs.sparkSession)
     model = train(docs, labels, label_fold("doc_id", folds) != held_out, **options)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _score double"
-    return docs.mapInArrow(_with_score(model), schema).where(F.col("_score") >= threshold).drop("_score")
+    (score,) = fresh(docs, "_score")
+    scored = docs.mapInArrow(appended(lambda _, texts: _score(model, texts), score), with_column(docs, score, DoubleType()))
+    return scored.where(F.col(score) >= threshold).drop(score)

@@ -72,6 +72,53 @@ def test_without_labels(spark, none, labelled):
         assert run(none, labelled[1]).count() == 0
 
 
+def test_filter_of_columns_that_clash(spark, labelled):
+    d, lab, rows = labelled
+    df = d.withColumnsRenamed({"score": "_score", "lang": "__SCORE"})
+    out = quality.good_documents(df, lab)
+    good = {r.doc_id for r in quality.quality(d, lab).where("predicted = 1 and doc_id <> 3").collect()}
+    assert out.columns == df.columns and {r.doc_id for r in out.where("doc_id <> 3").collect()} == good
+
+
+def test_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(90)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(3)] * 4, "doc_id long, quality int")
+    got = quality.labelled_sample(docs, lab, "quality", quality.F.lit(True), 2).collect()
+    assert len(got) == 2 == len({r.doc_id for r in got})
+
+
+def test_features_do_not_depend_on_slabs(monkeypatch):
+    import numpy as np
+
+    texts = [b"one line", b"", b"a\nb!\n\n" + b"LONG line 123 | " * 40 + b"\nlast", "é ü".encode(), b"\n"]
+    whole = quality.line_features(texts)
+    monkeypatch.setattr(quality, "SLAB", 7)
+    for a, b in zip(whole, quality.line_features(texts), strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_long_texts_score_alike_by_pieces():
+    import tracemalloc
+
+    import numpy as np
+
+    rng = random.Random(8)
+    texts = ["\n".join(" ".join(words(rng, rng.randint(0, 9))) + rng.choice(["", "%% %%", "!"]) for _ in range(n)) for n in (1, 2, 30, 90) for _ in range(8)]
+    texts = [t.encode() for t in [*texts, "same line\n" * 40, "\n" * 30, "", "x" * 900]]
+    per = np.array([quality.line_features([t])[2][0] for t in texts])
+    field = quality.fit(*quality.line_features(texts)[:2], per, np.array([t.count(b"%") < 3 for t in texts]).astype(int), steps=40)
+    for most in (1, 50, 400):
+        assert np.allclose(field.score(texts), field.score(texts, most), rtol=1e-9, atol=1e-12)
+    p, _ = quality.marginals(u := np.array([rng.gauss(0, 2) for _ in range(50)]), field.transition, np.array([50]))
+    for size in (1, 2, 7, 49, 50, 99):
+        assert np.allclose(quality.long_marginals(u, field.transition, size), p)
+    long = b"\n".join(b"word%d and some more of it" % i for i in range(400_000))  # 12 MB
+    tracemalloc.start()
+    field.score([long])
+    assert tracemalloc.get_traced_memory()[1] < 12 * len(long)
+    tracemalloc.stop()
+
+
 def test_marginals_match_enumeration():
     import itertools
 
