@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored
+from sluice.llm.common import join_hot, stored
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the graph links (a, b); component is the least node reached.
 
     Each round hooks every component onto the least component next to it and then follows pointers twice, so
-    rounds grow with the logarithm of the longest chain. Each round is written: its lineage stays short and a hot
-    node is only ever a group of partial minima.
+    rounds grow with the logarithm of the longest chain. Each round is written: its lineage stays short. A hot node is only
+    ever a group of partial minima, and the label of a component that holds very many nodes goes to them by broadcast.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
     label = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "component")
@@ -30,10 +30,10 @@ def components(links: DataFrame) -> DataFrame:
             continue
         hook = crossing.select(F.greatest("ca", "cb").alias("node"), F.least("ca", "cb").alias("m")).groupBy("node").agg(F.min("m").alias("m"))
         # a component's own label moves to the least label next to it; members follow by pointers
-        moved = label.join(hook.withColumnRenamed("node", "component"), "component", "left").select("node", F.least("component", F.coalesce("m", "component")).alias("component"))
-        label = _jump(_jump(moved))
+        moved = join_hot(label, stored(hook.withColumnRenamed("node", "component"), "hook"), "component").select("node", F.least("component", F.coalesce("m", "component")).alias("component"))
+        label = _jump(_jump(stored(moved, "moved")))
 
 
 def _jump(label: DataFrame) -> DataFrame:
     to = label.select(F.col("node").alias("component"), F.col("component").alias("next"))
-    return stored(label.join(to, "component", "left").select("node", F.least("component", F.coalesce("next", "component")).alias("component")), "jump")
+    return stored(join_hot(label, to, "component").select("node", F.least("component", F.coalesce("next", "component")).alias("component")), "jump")

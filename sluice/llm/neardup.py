@@ -17,7 +17,7 @@ Plan, for a corpus of any size:
    block inside tasks, and components are joined. Thus no candidate of the bands is lost and no pair inside one component is ever made.
 
 Empty, null and blank texts have an empty set and link with nothing. Repeated rows of one doc_id are one document
-for the links; each row is returned. A row of a null doc_id links with nothing that has one: its component and kept are
+for the links (one of several texts links by any of them); each row is returned. A row of a null doc_id links with nothing that has one: its component and kept are
 null. Further columns are ignored.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import words
-from sluice.llm.common import by_chunk, lists, mix, signed, stored, prepare
+from sluice.llm.common import by_chunk, join_hot, lists, mix, prepare, signed, stored
 from sluice.llm.graph import components
 
 BANDS, ROWS = 32, 4
@@ -126,7 +126,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    return docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows(k), "doc_id long, members binary").dropDuplicates(["doc_id"])
+    """(doc_id, members): each text's set; a doc_id of several texts has several, and links by any of them."""
+    rows = docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows(k), "doc_id long, members binary")
+    return rows.withColumn("_print", F.xxhash64("members")).dropDuplicates(["doc_id", "_print"]).drop("_print")
 
 
 def _sizes_fit(x, y, percent: int):
@@ -168,7 +170,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 75, bands: in
         nodes = components(links.unionByName(links2))
 
     reached = classes.join(nodes.select(F.col("node").alias("rep"), "component"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = sig.select("doc_id", "n_shingles", "fp").join(reached, "fp", "left")
+    out = join_hot(sig.select("doc_id", "n_shingles", "fp"), stored(reached, "reached"), "fp")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 

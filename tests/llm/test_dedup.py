@@ -60,6 +60,22 @@ def test_near_duplicates_edges(spark, none):
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (1, 1), (1, 1), (2, 1)]
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, "other words that stand alone here")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)} and len(got) == 5
+
+
+def test_component_of_most_nodes(spark):
+    """Its label goes to its nodes by broadcast."""
+    from sluice.llm.graph import components
+
+    links = [(i, i + 1) for i in range(700)] + [(2000 + 2 * i, 2001 + 2 * i) for i in range(100)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(701)} | {i: i - i % 2 for i in range(2000, 2200)}
+
+
 def _removed(rows):
     seen, out = set(), {}
     for i, t in sorted((r[0], r[1]) for r in rows):
