@@ -25,8 +25,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the least doc_id stays."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
