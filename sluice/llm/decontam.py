@@ -48,7 +48,7 @@ def _votes(h: np.ndarray) -> np.ndarray:
     """+1 or -1 of each shingle for each bit."""
     parts = np.stack([mix(h ^ s) for s in _SEEDS], axis=1)
     bits = np.unpackbits(parts.view(np.uint8).reshape(len(h), 32), axis=1)[:, :BITS]
-    return bits.astype(np.int32) * 2 - 1
+    return bits.astype(np.int8) * 2 - 1
 
 
 def _numbered(bag: np.ndarray) -> np.ndarray:
@@ -63,19 +63,29 @@ def _numbered(bag: np.ndarray) -> np.ndarray:
 
 def _print(bag: np.ndarray) -> np.ndarray:
     """The fingerprint of one bag of shingles, as BITS zeros and ones."""
-    return (_votes(_numbered(bag)).sum(axis=0) > 0).astype(np.uint8)
+    return (_votes(_numbered(bag)).sum(axis=0, dtype=np.int32) > 0).astype(np.uint8)
 
 
 def fingerprints(sh: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
-    """Of each window sh[s:s+m], as BITS zeros and ones."""
-    total = np.zeros((len(sh) + 1, BITS), np.int32)
-    np.cumsum(_votes(sh), axis=0, out=total[1:])
-    out = (total[starts + m] > total[starts]).astype(np.uint8)
+    """Of each window sh[s:s+m], as BITS zeros and ones; starts ascend."""
+    edge = np.zeros(len(sh) + 1, np.int32)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + m, -1)
+    covered = np.cumsum(edge[:-1]) > 0  # votes are cast by the shingles of windows only
+    sh, starts = sh[covered], (np.cumsum(covered) - 1)[starts]
     order = np.argsort(sh, kind="stable")
     before = np.full(len(sh), -1)
     same = sh[order[1:]] == sh[order[:-1]]
     before[order[1:][same]] = order[:-1][same]
     latest = words.sliding(before, m, np.maximum)[starts]
+    out = np.empty((len(starts), BITS), np.uint8)
+    cut = np.flatnonzero(np.concatenate(([True], np.diff(starts // _REGION) > 0)))
+    for a, b in zip(cut, [*cut[1:], len(starts)], strict=True):
+        own = starts[a:b] - starts[a]
+        votes = _votes(sh[starts[a] : starts[b - 1] + m])
+        total = np.zeros((len(votes) + 1, BITS), np.int32)
+        np.cumsum(votes, axis=0, out=total[1:])
+        out[a:b] = total[own + m] > total[own]
     for i in np.flatnonzero(latest >= starts):  # a shingle stands twice in the window
         out[i] = _print(sh[starts[i] : starts[i] + m])
     return out
@@ -95,15 +105,17 @@ class Index:
         keys = (_values(prints)[:, :, None] ^ _MASKS).reshape(-1).astype(np.int32)
         order = np.argsort(keys, kind="stable")
         self.keys, self.item = keys[order], (order // (BLOCKS * len(_MASKS))).astype(np.int32)
+        known = np.zeros(BLOCKS << _WIDE, bool)
+        known[keys] = True
+        self.known = np.packbits(known, bitorder="little")
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(fingerprint, item) pairs of which some block differs in 2 * FLIPS bits at most."""
         out = [np.zeros(0, np.int64)]
         for a in range(0, len(prints), 256):
             wanted = (_values(prints[a : a + 256])[:, :, None] ^ _MASKS).reshape(-1).astype(np.int32)
-            begin = np.searchsorted(self.keys, wanted)
-            hit = np.flatnonzero(self.keys[np.minimum(begin, len(self.keys) - 1)] == wanted)
-            begin, end = begin[hit], np.searchsorted(self.keys, wanted[hit], "right")
+            hit = np.flatnonzero(self.known[wanted >> 3] >> (wanted & 7).astype(np.uint8) & 1)
+            begin, end = np.searchsorted(self.keys, wanted[hit]), np.searchsorted(self.keys, wanted[hit], "right")
             n = end - begin
             at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
             out.append(np.unique((np.repeat(hit // (BLOCKS * len(_MASKS)), n) + a) * len(self.prints) + self.item[at]))
@@ -206,9 +218,8 @@ def _leaks(w: words.Words, h: np.ndarray, items: Items) -> Iterator[tuple[int, i
             s = s[s + n <= end[s]]
             if not len(s):
                 continue
-            cut = np.flatnonzero(np.concatenate(([True], np.diff(s // _REGION) > 0)))
-            for a, b in zip(cut, [*cut[1:], len(s)], strict=True):
-                starts = s[a:b]
+            for a in range(0, len(s), _REGION):
+                starts = s[a : a + _REGION]
                 base = int(starts[0])
                 prints = fingerprints(sh[base : int(starts[-1]) + m], starts - base, m)
                 for x, item in zip(*items.near(prints, n), strict=True):
