@@ -1,24 +1,28 @@
 """Toxicity by compression distance: two Zstandard dictionaries, one of toxic and one of ordinary text.
 
-A window is a word with the blanks around it, in A-Z lower case, and a constant tail that both dictionaries hold, so that
-a compressed window has the same overhead with either. A window that the toxic dictionary compresses shorter holds
-wording of toxic documents. How many of a text's windows save at least 1, 2, ... bytes, and which share of them, goes to
-a logistic function calibrated on the labelled documents.
-
-The ordinary dictionary is trained by Zstandard's trainer on pieces of ordinary documents. Toxic documents consist of
-ordinary wording almost everywhere and the trainer would pick just that, so the toxic dictionary is the ordinary one
-with what sets them apart after it: words around byte runs whose document frequency is significantly higher among toxic
-documents. The compressor indexes every third byte of a dictionary for sure, so these words are laid out at three
-alignments. The ordinary dictionary has filler that nothing matches in their place: both work with equal parameters and
-offsets, and only the words make a difference.
+A window is ``WORDS`` words that follow one another, with the blanks around them, in A-Z lower case, and a constant tail
+that both dictionaries hold, so that a compressed window has the same overhead with either. A window that the toxic
+dictionary compresses shorter holds wording of toxic documents. How many of a text's windows save at least 1, 2, ...
+bytes, and which share of them, goes to a logistic function calibrated on the labelled documents.
+
+Both dictionaries come from Zstandard's trainer, on contrasting samples. The ordinary one is trained on windows of
+ordinary documents that hold none of the byte runs below. Toxic documents consist of ordinary wording almost everywhere and the trainer would pick just that,
+so the toxic one is trained on those words of toxic documents, as often as they stand there, that hold a byte run of
+significantly higher document frequency among toxic documents. What is compressed with is the ordinary dictionary with
+the toxic one after it, against the ordinary one with as much filler that nothing matches: both work with equal
+parameters and offsets, and only the toxic dictionary makes a difference.
+
+A dictionary shortens the very texts that it was trained on more than others. So toxic documents are halved: each half is
+calibrated with the dictionary trained on the other one, and texts are scored with the dictionary of both.
 
 Labels are learned from at most ``most`` toxic and twice as many ordinary documents (the least by a hash of doc_id) with
-texts up to ``most_bytes``: bounds on the fit alone. Both kinds are counted over all labels that may be learned from, and
-the calibration weighs the sample by these counts, so that scores and thresholds do not depend on the bounds. Every whole text is scored; the windows' savings are remembered, so
-that a frequent word is compressed once by a worker. Null and empty texts have no window. Labels, languages, sources and
-ids are no features. Repeated rows are scored each; a null doc_id is in no fold (held_out is null); extra
-columns are ignored. Without labels of both kinds the score is
-0.5; without toxic wording in them the score is their share.
+texts up to ``most_bytes``, and the ordinary dictionary is trained on at most ``ORDINARY_WINDOWS`` of their windows:
+bounds on the fit alone. Both kinds are counted over all labels that may be learned from, and the calibration weighs the
+sample by these counts, so that scores and thresholds do not depend on the bounds. Every whole text is scored; the windows'
+savings are remembered, so that a frequent window is compressed once by a worker. Null and empty texts have no window.
+Labels, languages, sources and ids are no features. Repeated rows are scored each; a null doc_id is in no fold (held_out is
+null); extra columns are ignored. Without labels of both kinds the score is 0.5; without toxic wording in them the score is
+their share.
 """
 
 from __future__ import annotations
@@ -34,19 +38,25 @@ from pyspark.sql import functions as F
 from sluice.llm.common import label_fold, prepare
 from sluice.llm.quality import _adam, labelled_sample, score_documents
 
-GRAMS, LEVEL = (5, 6, 8), 3
-PIECE = 64  #: bytes of a training piece, and of a part of a longer word
-ORDINARY_BYTES, TOXIC_WORDS = 65536, 600
+GRAMS, LEVEL, WORDS = (5, 6, 8), 3, 1
+PIECE = 64  #: bytes of a part of a longer window
+ORDINARY_BYTES, TOXIC_BYTES, ORDINARY_WINDOWS = 32768, 4096, 60_000
+#: The trainer's segments and runs for words; for ordinary text it chooses its own.
+SEGMENTS = {"k": 24, "d": 8}
 TAIL = b"~^{constant tail of every window}^~"
 REMEMBERED = 1_000_000
 _TOP = 10
-_MARKS = b" .,!?;:*#$%&\"'()"
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def windows_of(text: bytes, size: int = 0) -> list[bytes]:
+    size, own = size or WORDS, words_of(text)
+    return own if size == 1 else [b" ".join(own[i : i + size]) for i in range(0, len(own), size)]
+
+
 def _grams(b: bytes, size: int) -> np.ndarray:
     a = np.frombuffer(b, np.uint8).astype(np.uint64)
     n = len(a) - size + 1
@@ -77,30 +87,40 @@ def _distinctive(toxic: list[bytes], ordinary: list[bytes], size: int, least: in
     return set(grams[low >= 4 * high].tolist())
 
 
-def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words that set toxic texts apart, the most frequent first, with a blank at either end."""
+def distinctive_runs(toxic: list[bytes], ordinary: list[bytes]) -> dict[int, np.ndarray]:
+    """By length: the byte runs that set toxic texts apart."""
     t, o = [_blank(x) for x in toxic], [_blank(x) for x in ordinary]
-    runs = {size: _distinctive(t, o, size) for size in GRAMS}
-    bare = lambda texts: Counter(w for x in texts for w in {b" " + w.strip(_MARKS) + b" " for w in x.split()})
-    in_toxic, in_ordinary = bare(t), bare(o)
-    least = max(2, 0.01 * len(t))
-    often = [w for w, n in in_toxic.items() if n >= least and n / len(t) >= 10 * (in_ordinary[w] + 0.5) / len(o)]
-    found = [w for w in often if any(not runs[size].isdisjoint(_grams(w, size).tolist()) for size in GRAMS)]
-    return sorted(found, key=lambda w: (-in_toxic[w], w))[:TOXIC_WORDS]
-
-
-def _laid_out(found: list[bytes]) -> bytes:
-    out = b"\x80" * 64
-    for alignment in range(3):
-        for w in reversed(found):
-            out += b"\x81" * ((alignment - len(out)) % 3) + w
+    return {size: np.array(sorted(_distinctive(t, o, size)), np.uint64) for size in GRAMS}
+
+
+def holding(found: list[bytes], runs: dict[int, np.ndarray]) -> np.ndarray:
+    """Which words or windows, with a blank at either end, hold one of the runs."""
+    out = np.zeros(len(found), bool)
+    buffer, ends = b"".join(b" %s " % w for w in found), np.cumsum([len(w) + 2 for w in found])
+    for size, own in runs.items():
+        if len(own) and found:
+            at = np.flatnonzero(np.isin(_grams(buffer, size), own))  # a run over two of them has two blanks: no text does
+            out[np.searchsorted(ends, at, "right")] = True
     return out
 
 
-def _dictionary(size: int, samples: list[bytes]) -> bytes:
-    """A dictionary trained on samples; where they are too few for the trainer, the samples by frequency."""
+def contrasting(toxic: list[bytes], runs: dict[int, np.ndarray]) -> list[bytes]:
+    """The words of toxic texts that hold a run, with a blank at either end, as often as they stand there.
+
+    They come in a random order: the trainer takes something from each stretch of its samples.
+    """
+    standing = Counter(w for x in toxic for w in words_of(x))
+    different = sorted(standing)
+    found = [b" %s " % w for w, h in zip(different, holding(different, runs), strict=True) if h for _ in range(standing[w])]
+    return [found[i] for i in np.random.default_rng(1).permutation(len(found))]
+
+
+def _dictionary(size: int, samples: list[bytes], **options: int) -> bytes:
+    """A dictionary trained on samples, over again where they are few; where the trainer still finds them too few, the
+    samples by frequency."""
+    again = -(-8 * size // max(1, sum(map(len, samples))))
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        return zstandard.train_dictionary(size, samples * max(1, again), **options).as_bytes()
     except zstandard.ZstdError:
         return b"".join(s for s, _ in reversed(Counter(samples).most_common()))[-size:]
 
@@ -119,8 +139,8 @@ class Distance:
     """Two dictionaries and the calibration; compressors are made where they are used."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
-        filler = np.random.default_rng(0).integers(128, 256, len(toxic)).astype(np.uint8).tobytes()
-        self.contents = (ordinary + filler + TAIL, ordinary + toxic + TAIL)
+        filler = np.random.default_rng(0).integers(128, 256, max(TOXIC_BYTES, len(toxic))).astype(np.uint8).tobytes()
+        self.contents = (ordinary + filler + b"\x80" + TAIL, ordinary + filler[len(toxic) :] + toxic + b"\x80" + TAIL)
         self.key = hashlib.blake2b(self.contents[1]).digest()
         self.mean = self.scale = self.weights = None
         self.made = None
@@ -129,10 +149,10 @@ class Distance:
         return self.__dict__ | {"made": None}
 
     def _saved(self, found: list[bytes]) -> list[int]:
-        """Of each word, how many bytes less the toxic dictionary takes; a long word counts as its best part."""
+        """Of each window, how many bytes less the toxic dictionary takes; a long window counts as its best part."""
         if self.made is None:
             self.made = [_compressor(c) for c in self.contents]
-        parts = [[w[i : i + PIECE] for i in range(0, max(1, len(w) - PIECE // 2), PIECE // 2)] for w in found]
+        parts = [[w[i : i + PIECE] for i in range(0, max(1, len(w) - PIECE // 2), PIECE // 2)] if len(w) > PIECE else [w] for w in found]
         windows = [b" " + p + b" " + TAIL for ps in parts for p in ps]
         lengths = np.fromiter(map(len, windows), np.int64, len(windows))
         if hasattr(self.made[0], "multi_compress_to_buffer"):
@@ -151,7 +171,7 @@ class Distance:
         known = _SAVED[self.key]
         if len(known) > REMEMBERED:
             known.clear()
-        split = [words_of(t) for t in texts]
+        split = [windows_of(t) for t in texts]
         new = list(set().union(*split).difference(known))
         for a in range(0, len(new), 8192):
             known.update(zip(new[a : a + 8192], self._saved(new[a : a + 8192]), strict=True))
@@ -164,9 +184,8 @@ class Distance:
             out[i] = np.concatenate([np.log1p(c), [np.log1p(len(z))], np.sqrt(c / max(1, len(z))), c[1:8:2] > 0])
         return out
 
-    def calibrate(self, texts: list[bytes], labels: np.ndarray, share: float) -> None:
-        """share: of toxic documents among all, whatever it is among texts."""
-        x = self.features(texts)
+    def calibrate(self, x: np.ndarray, labels: np.ndarray, share: float) -> None:
+        """x: features of labelled texts; share: of toxic documents among all, whatever it is among them."""
         weight = np.where(labels == 1, share / labels.sum(), (1 - share) / (1 - labels).sum())
         self.mean = weight @ x
         self.scale = np.sqrt(weight @ (x - self.mean) ** 2) + 1e-6
@@ -202,14 +221,25 @@ def train(docs: DataFrame, labels: DataFrame, learn, *, label: str = "toxic", mo
         return Constant(0.5)
     counted = dict(labels.where(F.col(label).isin(0, 1)).where(learn).groupBy(F.col(label).cast("int")).agg(F.countDistinct("doc_id")).collect())
     share = counted[1] / (counted[0] + counted[1])
-    found = toxic_words(toxic, ordinary)
+    return fitted(toxic, ordinary, share)
+
+
+def fitted(toxic: list[bytes], ordinary: list[bytes], share: float):
+    """The model of distinct toxic and ordinary texts; share: of toxic ones among all."""
+    runs = distinctive_runs(toxic, ordinary)
+    found = contrasting(toxic, runs)
     if not found:
         return Constant(share)
-    pieces = [b[i : i + PIECE] for b in map(_blank, ordinary) for i in range(0, len(b), PIECE)]
-    pieces = [pieces[i] for i in np.random.default_rng(0).permutation(len(pieces))[:40_000]]
-    model = Distance(_laid_out(found), _dictionary(ORDINARY_BYTES, pieces))
-    both = toxic + ordinary
-    model.calibrate(both, np.repeat([1.0, 0.0], [len(toxic), len(ordinary)]), share)
+    pieces = [w for x in ordinary for w in sorted(set(windows_of(x)))]
+    taken = [pieces[i] for i in np.random.default_rng(0).permutation(len(pieces))[:ORDINARY_WINDOWS]]
+    plain = _dictionary(ORDINARY_BYTES, [b" %s " % w for w, h in zip(taken, holding(taken, runs), strict=True) if not h])
+    halves = [contrasting(toxic[i::2], distinctive_runs(toxic[i::2], ordinary[i::2])) for i in (0, 1)]
+    model, x = Distance(_dictionary(TOXIC_BYTES, found, **SEGMENTS), plain), []
+    for i in (0, 1):
+        other = Distance(_dictionary(TOXIC_BYTES, halves[1 - i], **SEGMENTS), plain) if halves[1 - i] else model
+        x.append(other.features(toxic[i::2] + ordinary[i::2]))
+    labels = [np.repeat([1.0, 0.0], [len(toxic[i::2]), len(ordinary[i::2])]) for i in (0, 1)]
+    model.calibrate(np.concatenate(x), np.concatenate(labels), share)
     return model
 
 

@@ -72,6 +72,38 @@ def test_without_labels(spark, none, labelled):
         assert run(none, labelled[1]).count() == 0
 
 
+def test_savings_equal_plain_compression():
+    """The batched, remembered savings against one compression a window, the long way."""
+    import zstandard
+
+    rng = random.Random(2)
+    toxic = [" ".join([*words(rng, 9), "snotwagon", "blatherskite"]).encode() for _ in range(60)]
+    ordinary = [" ".join(words(rng, 11)).encode() for _ in range(120)]
+    model = toxicity.fitted(toxic, ordinary, 1 / 3)
+    texts = [*toxic[:5], *ordinary[:5], b"", b"SnotWagon " * 30, b"x" * 200 + b" y"]
+
+    def length(content, window):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False).compress(window))
+
+    for text, got in zip(texts, model.savings(texts), strict=True):
+        want = []
+        for w in text.lower().split():
+            parts = [w[i : i + 64] for i in range(0, max(1, len(w) - 32), 32)]
+            want.append(max(length(model.contents[0], b" " + p + b" " + toxicity.TAIL) - length(model.contents[1], b" " + p + b" " + toxicity.TAIL) for p in parts))
+        assert got.tolist() == want
+    assert min(model.score([t + b" snotwagon" for t in ordinary])) > max(model.score(ordinary))
+
+
+def test_contrasting_words_hold_what_sets_toxic_texts_apart():
+    rng = random.Random(4)
+    toxic = [" ".join([*words(rng, 9), f"snot{'aeiou'[i % 5]}wagon", "plain"]).encode() for i in range(100)]
+    ordinary = [" ".join([*words(rng, 9), "plain"]).encode() for _ in range(200)]
+    found = toxicity.contrasting(toxic, toxicity.distinctive_runs(toxic, ordinary))
+    assert {w for w in found if b"wagon" in w} == {b" snot%cwagon " % c for c in b"aeiou"}
+    assert sum(b"wagon" in w for w in found) == 100 and b" plain " not in found and len(found) < 130
+
+
 def test_filter_of_columns_that_clash(spark, labelled):
     d, lab, rows = labelled
     df = d.withColumnsRenamed({"score": "_score", "lang": "__SCORE"})
