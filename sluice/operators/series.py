@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -63,6 +64,21 @@ def rolling(df: DataFrame, keys: Sequence[str], c: str = "quantity", windows: Se
     return df.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in out.items()})
 
 
+def _ewm(x: np.ndarray, a: float, size: int = 128) -> np.ndarray:
+    """The mean of what came before each value (0 before the first), ``size`` values at a time."""
+    out = np.zeros(len(x) + 1)
+    if len(x):
+        steps = np.arange(size)
+        weights = np.tril(a * (1 - a) ** (steps[:, None] - steps[None, :]).clip(0))
+        y = x[0]
+        for i in range(0, len(x), size):
+            own = x[i : i + size]
+            n = len(own)
+            out[i + 1 : i + n + 1] = weights[:n, :n] @ own + (1 - a) ** (steps[:n] + 1) * y
+            y = out[i + n]
+    return out[:-1]
+
+
 def ewm(df: DataFrame, keys: Sequence[str], c: str = "quantity", spans: Sequence[int] = WINDOWS) -> DataFrame:
     """Exponentially weighted means y = (1 - a) y + a x with a = 2 / (span + 1), shifted by one day.
 
@@ -73,13 +89,9 @@ def ewm(df: DataFrame, keys: Sequence[str], c: str = "quantity", spans: Sequence
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("date")
-        xs = table.column(c).to_pylist()
+        xs = table.column(c).to_numpy().astype(np.float64)
         for s, name in zip(spans, names, strict=True):
-            a, y, out = 2 / (s + 1), None, []
-            for x in xs:
-                out.append(0.0 if y is None else y)
-                y = x if y is None else (1 - a) * y + a * x
-            table = table.append_column(name, pa.array(out, pa.float64()))
+            table = table.append_column(name, pa.array(_ewm(xs, 2 / (s + 1))))
         return table
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{n}` double" for n in names])

@@ -36,9 +36,9 @@ def _resample(period: str, label: str = "p") -> str:
     return f"""SELECT ({label})::DATE AS period, coalesce(t, 0) AS total FROM (SELECT unnest(generate_series(min(p), max(p), INTERVAL {step}))::DATE AS p FROM x) LEFT JOIN x USING (p)"""
 
 
-@query("WITH x AS (SELECT date_trunc('week', doc_date)::DATE AS p, sum(line_total::DECIMAL(18,4))::DOUBLE AS t FROM inv WHERE item_code = 7 GROUP BY 1) " + _resample("week", "p + 6"))
+@query("WITH x AS (SELECT date_trunc('week', doc_date)::DATE AS p, sum(line_total::DECIMAL(18,4))::DOUBLE AS t FROM inv GROUP BY 1) " + _resample("week", "p + 6"))
 def ed4_resample_weekly(s, d):
-    return eda.resample(a.lines(s, d).where("item_code = 7"), "doc_date", "line_total", "week")
+    return eda.resample(a.lines(s, d), "doc_date", "line_total", "week")
 
 
 @query("WITH x AS (SELECT date_trunc('month', doc_date)::DATE AS p, sum(line_total::DECIMAL(18,4))::DOUBLE AS t FROM inv GROUP BY 1) " + _resample("month"))

@@ -14,20 +14,20 @@ from sluice.plans.catalog import Catalog
 
 KEYS = ["brand"]
 _SERIES = """, raw AS (SELECT doc_date AS date, brand, sum(quantity::DECIMAL(18,4))::DOUBLE AS quantity, sum(line_total::DECIMAL(18,4))::DOUBLE AS value, sum(gross_profit::DECIMAL(18,4))::DOUBLE AS profit, sum((unit_price * quantity)::DECIMAL(24,6))::DOUBLE / sum(quantity::DECIMAL(18,4))::DOUBLE AS price,
-  count(DISTINCT card_code) AS customers, count(*) AS sales FROM inv JOIN items USING (item_code) WHERE item_code % 5 = 0 GROUP BY ALL),
+  count(DISTINCT card_code) AS customers, count(*) AS sales FROM inv JOIN items USING (item_code) GROUP BY ALL),
 ser AS (SELECT g.brand, g.date, coalesce(raw.quantity, 0) AS quantity, coalesce(raw.value, 0) AS value, last_value(raw.price IGNORE NULLS) OVER (PARTITION BY g.brand ORDER BY g.date ROWS UNBOUNDED PRECEDING) AS price
   FROM (SELECT brand, unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))::DATE AS date FROM raw GROUP BY brand) g LEFT JOIN raw USING (brand, date))"""
 C = Catalog(a.SQL + _SERIES)
 query = C.query
 
 
-def raw(s, d, kept="item_code % 5 = 0"):
-    lines = a.lines(s, d).where(kept).join(a.items(s, d).select("item_code", "brand"), "item_code")
+def raw(s, d):
+    lines = a.lines(s, d).join(a.items(s, d).select("item_code", "brand"), "item_code")
     return series.daily(lines, KEYS)
 
 
-def full(s, d, **options):
-    return series.filled(raw(s, d, **options), KEYS).select("brand", "date", "quantity", "value", "price")
+def full(s, d):
+    return series.filled(raw(s, d), KEYS).select("brand", "date", "quantity", "value", "price")
 
 
 def r(c: str | Column, digits: int = 4) -> Column:
@@ -68,9 +68,9 @@ def wn6_rolling(s, d):
 
 
 @query(f"""SELECT brand, date, {', '.join(f"round(coalesce(list_reduce(p, lambda y, x: (1 - 2.0::DOUBLE / {n + 1}) * y + 2.0::DOUBLE / {n + 1} * x), 0), 3) AS quantity_ewm_{n}" for n in series.WINDOWS)}
-FROM (SELECT brand, date, list(quantity) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM ser WHERE date < DATE '1995-09-01')""")
+FROM (SELECT brand, date, list(quantity) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM ser)""")
 def wn7_ewm(s, d):
-    out = series.ewm(full(s, d).where(F.col("date") < "1995-09-01"), KEYS)
+    out = series.ewm(full(s, d), KEYS)
     return out.select("brand", "date", *[r(f"quantity_ewm_{n}", 3).alias(f"quantity_ewm_{n}") for n in series.WINDOWS])
 
 
@@ -178,7 +178,7 @@ def ml14_weekly_error(s, d):
 def ml8_gbt_forecast(s, d):
     """Trains both targets' gradient-boosted trees on days before 2001 and predicts the last months of every series."""
     cutoff = datetime.date(2001, 1, 1)
-    df = forecast.features(full(s, d, kept="true"), KEYS)
+    df = forecast.features(full(s, d), KEYS)
     columns = forecast.feature_columns(df)
     out = df.where(F.col("date") >= F.lit(cutoff))
     for target in ("quantity", "value"):
