@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -99,3 +100,35 @@ def rows_of_top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     """Rows whose category is among the n most frequent."""
     top = df.groupBy(column).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), column).limit(n)
     return df.join(F.broadcast(top.select(column)), column, "left_semi")  # n rows
+
+
+def first_or(df: DataFrame, default) -> DataFrame:
+    """One row with the first cell of df's first column, or the default where there is none."""
+    (c, *_) = df.columns
+    return df.select(c).limit(1).agg(F.coalesce(F.first(c), F.lit(default)).alias(c))
+
+
+def as_dict(df: DataFrame, most: int = 10_000) -> dict[str, list]:
+    """A small result's columns as lists; more than ``most`` rows are refused, not cut."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    return {c: [r[i] for r in rows] for i, c in enumerate(df.columns)}
+
+
+def relations(spark: SparkSession, pattern: str, exclude: Sequence[str] = (), database: str | None = None) -> DataFrame:
+    """(name) of tables and views like the SQL pattern, whatever the case, and like none of the excluded ones."""
+    found = [(t.name,) for t in spark.catalog.listTables(database)]
+    out = spark.createDataFrame(found, "name string").where(F.col("name").ilike(pattern))
+    for p in exclude:
+        out = out.where(~F.col("name").ilike(p))
+    return out
+
+
+def insert_rows(spark: SparkSession, path: str, rows: Iterable[tuple], schema: str, chunk: int = 5000) -> int:
+    """Appends rows of the driver to a Parquet table, ``chunk`` at a time; how many there were."""
+    total, rows = 0, iter(rows)
+    while part := list(itertools.islice(rows, chunk)):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(path)
+        total += len(part)
+    return total

@@ -1,7 +1,7 @@
-"""Versioned tables without a table format: root/v=<n>/ directories and a manifest that names the current one.
+"""Versioned tables without a table format: root/v=<n>-<id>/ directories and numbered manifests, of which the last holds.
 
-A version is written whole before the manifest is replaced by a rename, so readers see the old or the new table and a
-lost executor or driver leaves neither half. History, rollback, expiry and orphan removal work on the manifest.
+A version is written whole before the next manifest is put in place by a rename that fails where it exists: readers see
+the old or the new table, a lost executor or driver leaves neither half, and of two writers at a time one is told so. History, rollback, expiry and orphan removal work on the manifest.
 """
 
 from __future__ import annotations
@@ -11,11 +11,16 @@ import json
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another writer was first; read the table again and repeat."""
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
         self.spark, self.root, self.partition_by = spark, root.rstrip("/"), list(partition_by)
@@ -23,29 +28,40 @@ class SnapshotTable:
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     # manifest
+    def _numbers(self) -> list[int]:
+        if not self._fs.exists(self._path(self.root)):
+            return []
+        names = (f.getPath().getName() for f in self._fs.listStatus(self._path(self.root)))
+        return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
+
     def _manifest(self) -> dict:
-        at = self._path(f"{self.root}/manifest.json")
-        if not self._fs.exists(at):
-            return {"current": None, "versions": []}
-        stream = self._fs.open(at)
+        numbers = self._numbers()
+        if not numbers:
+            return {"number": 0, "current": None, "versions": []}
+        stream = self._fs.open(self._path(f"{self.root}/manifest-{numbers[-1]:010d}.json"))
         try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
+            return json.loads(bytes(stream.readAllBytes()).decode()) | {"number": numbers[-1]}
         finally:
             stream.close()
 
     def _commit(self, manifest: dict) -> None:
-        temp, at = self._path(f"{self.root}/.manifest-{uuid.uuid4().hex}"), self._path(f"{self.root}/manifest.json")
+        """Makes the manifest the next one. Of two writers that began at the same one, only the first can."""
+        temp, at = self._path(f"{self.root}/.manifest-{uuid.uuid4().hex}"), self._path(f"{self.root}/manifest-{manifest['number'] + 1:010d}.json")
         stream = self._fs.create(temp, True)
         try:
             stream.write(bytearray(json.dumps(manifest).encode()))
         finally:
             stream.close()
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(temp, at, options)
+        jvm = self.spark._jvm.org.apache.hadoop.fs
+        context = jvm.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(temp, at, self.spark.sparkContext._gateway.new_array(jvm.Options.Rename, 0))  # fails where it exists
+        except Py4JJavaError as e:
+            self._fs.delete(temp, False)
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            raise ConcurrentCommit(f"{self.root} was changed by another writer since manifest {manifest['number']}") from e
 
-    # reading
     def exists(self) -> bool:
         return self._manifest()["current"] is not None
 
@@ -55,37 +71,50 @@ class SnapshotTable:
         row = next((v for v in m["versions"] if v["version"] == version), None)
         if row is None:
             raise ValueError(f"{self.root} has no version {version}")
-        return self.spark.read.schema(T.StructType.fromJson(row["schema"])).parquet(f"{self.root}/v={version}")
+        return self.spark.read.schema(T.StructType.fromJson(row["schema"])).parquet(f"{self.root}/{row['path']}")
 
     def history(self) -> list[dict]:
         return [{k: v[k] for k in ("version", "at", "operation")} for v in self._manifest()["versions"]]
 
     # writing
-    def write(self, df: DataFrame, operation: str = "overwrite", at: datetime.datetime | None = None) -> int:
-        m = self._manifest()
+    def write(self, df: DataFrame, operation: str = "overwrite", at: datetime.datetime | None = None, *, based_on: dict | None = None, files: int = 1, sort_by: Sequence[str] = ()) -> int:
+        """Writes a new version; based_on: the manifest that df was read under, so that no other writer's change is lost.
+
+        files: of each partition at most, dealt by a hash of the rows. sort_by: the order within each file, so that
+        readers skip row groups.
+        """
+        m = based_on or self._manifest()
         version = 1 + max((v["version"] for v in m["versions"]), default=0)
-        df = without_void(df)
-        out = df.repartition(*self.partition_by) if self.partition_by else df
-        writer = out.write.mode("overwrite").option("compression", "zstd")
-        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.root}/v={version}")
+        path = f"v={version}-{uuid.uuid4().hex[:8]}"
+        out = df = without_void(df)
+        if self.partition_by:
+            out = df.repartition(*self.partition_by)
+            if files > 1:  # a given number of partitions is not put together again
+                parts = files * max(1, df.select(*self.partition_by).distinct().count())
+                out = df.repartition(parts, *self.partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+        if sort_by:
+            out = out.sortWithinPartitions(*self.partition_by, *sort_by)
+        writer = out.write.mode("error").option("compression", "zstd")
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.root}/{path}")
         at = at or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
-        m["versions"].append({"version": version, "at": at.isoformat(), "operation": operation, "schema": df.schema.jsonValue()})
-        m["current"] = version
-        self._commit(m)
+        row = {"version": version, "path": path, "at": at.isoformat(), "operation": operation, "schema": df.schema.jsonValue()}
+        self._commit(m | {"versions": [*m["versions"], row], "current": version})
         return version
 
     def upsert(self, incoming: DataFrame, keys: Sequence[str], *, replace: Sequence[str] | None = None, **options) -> int:
         """Incoming rows replace those of equal keys and others stay. replace: the keys whose old rows all go (a whole
         document instead of one line). Columns only ever get added. Null keys match nothing."""
-        if not self.exists():
-            return self.write(incoming, "create", **options)
-        return self.write(upserted(self.read(), incoming, keys, replace), "upsert", **options)
+        m = self._manifest()
+        if m["current"] is None:
+            return self.write(incoming, "create", based_on=m, **options)
+        return self.write(upserted(self.read(m["current"]), incoming, keys, replace), "upsert", based_on=m, **options)
 
     def delete_insert(self, incoming: DataFrame, keys: Sequence[str], **options) -> int:
         """Rows whose key is among the incoming or null go, then the incoming come."""
-        old = self.read()
+        m = self._manifest()
+        old = self.read(m["current"])
         kept = old.join(incoming.select(*keys).distinct(), list(keys), "left_anti").dropna(subset=list(keys))
-        return self.write(kept.unionByName(incoming, allowMissingColumns=True), "delete_insert", **options)
+        return self.write(kept.unionByName(incoming, allowMissingColumns=True), "delete_insert", based_on=m, **options)
 
     # maintenance
     def rollback(self, version: int) -> None:
@@ -95,23 +124,30 @@ class SnapshotTable:
         self._commit(m | {"current": version})
 
     def compact(self, target_bytes: int = 128 << 20) -> int:
-        df = self.read()
-        size = sum(f.getLen() for f in self._fs.listStatus(self._path(f"{self.root}/v={self._manifest()['current']}")) if f.isFile())
-        return self.write(df.repartition(max(1, -(-size // target_bytes))), "compact")
+        """Rewrites the current version in files of about the target size, in each partition too."""
+        m = self._manifest()
+        at = next(v["path"] for v in m["versions"] if v["version"] == m["current"])
+        df, size = self.read(m["current"]), self._fs.getContentSummary(self._path(f"{self.root}/{at}")).getLength()
+        if not self.partition_by:
+            return self.write(df.repartition(max(1, -(-size // target_bytes))), "compact", based_on=m)
+        parts = max(1, df.select(*self.partition_by).distinct().count())
+        return self.write(df, "compact", based_on=m, files=max(1, -(-size // (parts * target_bytes))))
 
     def expire(self, before: datetime.datetime, keep: int = 3) -> list[int]:
         """Drops versions older than ``before``, but never the last ``keep`` or the current one."""
         m = self._manifest()
         last = {v["version"] for v in m["versions"][-keep:]} | {m["current"]}
-        gone = [v["version"] for v in m["versions"] if v["version"] not in last and datetime.datetime.fromisoformat(v["at"]) < before]
-        self._commit(m | {"versions": [v for v in m["versions"] if v["version"] not in gone]})
+        gone = [v for v in m["versions"] if v["version"] not in last and datetime.datetime.fromisoformat(v["at"]) < before]
+        self._commit(m | {"versions": [v for v in m["versions"] if v not in gone]})
         for v in gone:
-            self._fs.delete(self._path(f"{self.root}/v={v}"), True)
-        return gone
+            self._fs.delete(self._path(f"{self.root}/{v['path']}"), True)
+        for n in self._numbers()[:-keep]:
+            self._fs.delete(self._path(f"{self.root}/manifest-{n:010d}.json"), False)
+        return [v["version"] for v in gone]
 
     def remove_orphans(self) -> list[str]:
         """Deletes version directories that the manifest does not name (failed writes)."""
-        known = {f"v={v['version']}" for v in self._manifest()["versions"]}
+        known = {v["path"] for v in self._manifest()["versions"]}
         gone = [f.getPath().getName() for f in self._fs.listStatus(self._path(self.root)) if f.isDirectory() and f.getPath().getName().startswith("v=") and f.getPath().getName() not in known]
         for name in gone:
             self._fs.delete(self._path(f"{self.root}/{name}"), True)

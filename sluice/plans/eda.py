@@ -70,3 +70,14 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def summary(df: DataFrame, day: str, distinct: Sequence[str], sums: Sequence[str]) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.min(day).alias("first_day"), F.max(day).alias("last_day"), *[F.countDistinct(c).alias(f"distinct_{c}") for c in distinct], *[total(c).alias(f"total_{c}") for c in sums])
+
+
+def target_panels(df: DataFrame, day: str, target: str, groups: Sequence[str], n: int = 5) -> DataFrame:
+    """(panel, period, key, total): the target by week, and by month for the n greatest values of each group column."""
+    week = df.groupBy(F.date_trunc("week", day).cast("date").alias("period")).agg(total(target).alias("total"))
+    out = week.select(F.lit("week").alias("panel"), "period", F.lit(None).cast("string").alias("key"), "total")
+    for c in groups:
+        top = df.groupBy(c).agg(total(target).alias("_t")).orderBy(F.desc("_t"), c).limit(n).select(c)  # n rows
+        month = df.join(F.broadcast(top), c, "left_semi").groupBy(F.date_trunc("month", day).cast("date").alias("period"), c).agg(total(target).alias("total"))
+        out = out.unionByName(month.select(F.lit(c).alias("panel"), "period", F.col(c).cast("string").alias("key"), "total"))
+    return out

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sluice.plans import eda_queries, function_queries, mart_queries, quality_queries, series_queries, silver_queries, store_queries
+from sluice.plans import access_queries, eda_queries, function_queries, mart_queries, quality_queries, series_queries, silver_queries, store_queries
 
-_MODULES = (mart_queries, silver_queries, function_queries, quality_queries, series_queries, eda_queries, store_queries)
+_MODULES = (mart_queries, silver_queries, function_queries, quality_queries, series_queries, eda_queries, store_queries, access_queries)
 
 
 def queries() -> dict:

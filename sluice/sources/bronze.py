@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,3 +78,16 @@ def audit_csv(df: DataFrame, path: str) -> None:
     """CSV with nested columns as JSON text."""
     nested = {f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))}
     df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns]).write.mode("overwrite").option("header", True).option("escape", "\"").csv(path)
+
+
+def read_months(spark: SparkSession, path: str, months: Sequence[tuple[int, int]]) -> DataFrame:
+    """The rows of these (year, month) partitions only, from one pruned scan."""
+    df, wanted = spark.read.parquet(path), F.lit(False)
+    for year in sorted({y for y, _ in months}):
+        wanted = wanted | ((F.col("year") == year) & F.col("month").isin([m for y, m in months if y == year]))
+    return df.where(wanted)
+
+
+def last_days(df: DataFrame, day: str, as_of: datetime.date, days: int) -> DataFrame:
+    """Rows from so many days before as_of on."""
+    return df.where(F.col(day) >= F.lit(as_of - datetime.timedelta(days=days)))

@@ -8,8 +8,11 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sluice.sources.bronze import write_chunks
+
 Fetch = Callable[[str], dict]
 
 
@@ -94,3 +97,13 @@ class RestSource(DataSource):
 
     def reader(self, schema):
         return _Reader(schema, dict(self.options))
+
+
+def extract(spark: SparkSession, url: str, entity: str, schema: str, rows: int, root: str, today: datetime.date, *, load: str = "full", since: datetime.date | None = None, **options: str) -> str:
+    """Loads an entity into Bronze: whole (documents from ``since`` on) or what changed; the path of the day's files."""
+    where = changed_since(entity, today) if load == "incremental" else f"DocDate ge '{since}'" if since else None
+    spark.dataSource.register(RestSource)
+    told = {"url": url, "entity": entity, "rows": str(rows)} | ({"filter": where} if where else {}) | options
+    path = f"{root.rstrip('/')}/{load}/year={today:%Y}/month={today:%m}/day={today:%d}"
+    write_chunks(spark.read.format("rest").schema(schema).options(**told).load(), path)
+    return path

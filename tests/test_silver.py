@@ -146,6 +146,100 @@ def test_versions_rollback_and_upkeep(spark, tmp_path):
         t.read(77)
 
 
+def test_of_two_writers_one_is_told(spark, tmp_path):
+    t = snapshot.SnapshotTable(spark, str(tmp_path / "c"))
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    t.write(one)
+    seen = t._manifest()
+    t.upsert(spark.createDataFrame([(2, "b")], "k int, v string"), ["k"])
+    with pytest.raises(snapshot.ConcurrentCommit):
+        t.write(one, based_on=seen)
+    assert sorted(r.k for r in t.read().collect()) == [1, 2]
+    assert len(t.remove_orphans()) == 1
+
+
+def test_compaction_of_a_partitioned_table(spark, tmp_path):
+    t = snapshot.SnapshotTable(spark, str(tmp_path / "p"), ["p"])
+    rows = spark.range(2000).selectExpr("id AS k", "cast(id % 2 AS int) AS p")
+    files = lambda: len([f for f in (tmp_path / "p").glob(f"v={t._manifest()['current']}-*/p=*/*.parquet")])
+    t.write(rows)
+    assert files() == 2
+    t.compact(target_bytes=1000)
+    assert files() > 4
+    t.compact()
+    assert files() == 2 and t.read().count() == 2000
+
+
+def test_sequences_without_a_global_window(spark):
+    from sluice.operators import quality
+
+    values = [1, 2, 3, 7, 8, 8, 900, 901, 5000, None]
+    got = quality.sequential_values(spark.createDataFrame([(v,) for v in values], "v int"), "v").collect()
+    assert sorted((r.v, r.previous) for r in got) == [(7, 3), (8, 8), (900, 8), (5000, 901)]
+    assert quality.sequential_values(spark.createDataFrame([(4,)], "v int"), "v").count() == 0
+    a, b = spark.createDataFrame([(1,), (1,), (2,)], "g int"), spark.createDataFrame([(1,), (1,), (3,)], "g int")
+    assert sorted(r.g for r in quality.equal_rowcount(a, b, ["g"]).collect()) == [2, 3]
+    assert sorted(r.g for r in quality.fewer_rows_than(a, b, ["g"]).collect()) == [1, 2]
+    assert quality.equal_rowcount(a, b).count() == 0
+
+
+def test_extract_to_bronze(spark, tmp_path):
+    from sluice.sources import bronze
+
+    day = datetime.date(2024, 3, 1)
+    for load in ("full", "incremental"):
+        rest.extract(spark, "http://x", "Invoices", "id long", len(ROWS), str(tmp_path / "b"), day, load=load, since=day, fetcher="tests.test_silver:fake")
+    assert bronze.read(spark, str(tmp_path / "b"), "incremental", day).count() == len(ROWS)
+    assert bronze.read(spark, str(tmp_path / "b"), "all").count() == 2 * len(ROWS)
+
+
+def test_gate_of_the_forecast(tmp_path, monkeypatch):
+    from sluice.plans import forecast
+
+    saved = []
+    monkeypatch.setattr(forecast, "save_model", lambda *args: saved.append(args) or "path")
+    at = datetime.datetime(2024, 1, 1)
+    assert forecast.register(None, 3.0, 2.9, "root", "quantity", at) is None and not saved
+    assert forecast.register(None, float("nan"), 2.9, "root", "quantity", at) is None
+    assert forecast.register(None, 2.9, 2.9, "root", "quantity", at) == "path"
+
+
+def test_trained_behind_the_gate(spark, tmp_path):
+    from sluice.plans import forecast
+
+    rows = [(datetime.date(2024, 1, 1) + datetime.timedelta(days=i), float(i % 7), float(i % 7)) for i in range(120)]
+    df = spark.createDataFrame(rows, "date date, x double, quantity double")
+    run = lambda limit: forecast.pipeline(df, "quantity", ["x"], datetime.date(2024, 4, 1), limit, str(tmp_path / "m"), datetime.datetime(2024, 5, 1), maxIter=3, maxDepth=3)
+    assert run(0.0)["status"] == "rejected" and not (tmp_path / "m").exists()
+    out = run(5.0)
+    assert out["status"] == "registered" and out["rmse"] < 5
+    again = forecast.predict(forecast.latest_model(spark, str(tmp_path / "m"), "quantity"), df)
+    assert again.count() == 120
+
+
+def test_smoothed_means_equal_the_recursion():
+    import numpy as np
+
+    from sluice.operators import series
+
+    x = np.random.default_rng(0).gamma(1, 5, 400)
+    for a in (0.05, 0.25, 1.0):
+        y, want = None, []
+        for v in x:
+            want.append(0.0 if y is None else y)
+            y = v if y is None else (1 - a) * y + a * v
+        assert np.allclose(series._ewm(x, a), want)
+    assert len(series._ewm(x[:0], 0.5)) == 0
+
+
+def test_small_results(spark):
+    from sluice.operators import relational
+
+    with pytest.raises(ValueError):
+        relational.as_dict(spark.range(5).toDF("a"), most=4)
+    assert relational.as_dict(spark.range(3).toDF("a")) == {"a": [0, 1, 2]}
+
+
 def test_void_columns(spark):
     assert snapshot.without_void(spark.sql("SELECT NULL AS a, 1 AS b")).dtypes == [("a", "string"), ("b", "int")]
 
