@@ -77,10 +77,10 @@ class SnapshotTable:
         return [{k: v[k] for k in ("version", "at", "operation")} for v in self._manifest()["versions"]]
 
     # writing
-    def write(self, df: DataFrame, operation: str = "overwrite", at: datetime.datetime | None = None, *, based_on: dict | None = None, files: int = 1, sort_by: Sequence[str] = ()) -> int:
+    def write(self, df: DataFrame, operation: str = "overwrite", at: datetime.datetime | None = None, *, based_on: dict | None = None, files: int = 1, most_rows: int = 0, sort_by: Sequence[str] = ()) -> int:
         """Writes a new version; based_on: the manifest that df was read under, so that no other writer's change is lost.
 
-        files: of each partition at most, dealt by a hash of the rows. sort_by: the order within each file, so that
+        files: tasks that a partition's rows are dealt to, by a hash. most_rows: of a file, if not 0. sort_by: the order within each file, so that
         readers skip row groups.
         """
         m = based_on or self._manifest()
@@ -94,7 +94,7 @@ class SnapshotTable:
                 out = df.repartition(parts, *self.partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
         if sort_by:
             out = out.sortWithinPartitions(*self.partition_by, *sort_by)
-        writer = out.write.mode("error").option("compression", "zstd")
+        writer = out.write.mode("error").option("compression", "zstd").option("maxRecordsPerFile", most_rows)
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.root}/{path}")
         at = at or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
         row = {"version": version, "path": path, "at": at.isoformat(), "operation": operation, "schema": df.schema.jsonValue()}
@@ -131,7 +131,8 @@ class SnapshotTable:
         if not self.partition_by:
             return self.write(df.repartition(max(1, -(-size // target_bytes))), "compact", based_on=m)
         parts = max(1, df.select(*self.partition_by).distinct().count())
-        return self.write(df, "compact", based_on=m, files=max(1, -(-size // (parts * target_bytes))))
+        files = max(1, -(-size // (parts * target_bytes)))
+        return self.write(df, "compact", based_on=m, files=files, most_rows=max(1, df.count() * target_bytes // max(1, size)))
 
     def expire(self, before: datetime.datetime, keep: int = 3) -> list[int]:
         """Drops versions older than ``before``, but never the last ``keep`` or the current one."""

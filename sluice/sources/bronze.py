@@ -91,3 +91,9 @@ def read_months(spark: SparkSession, path: str, months: Sequence[tuple[int, int]
 def last_days(df: DataFrame, day: str, as_of: datetime.date, days: int) -> DataFrame:
     """Rows from so many days before as_of on."""
     return df.where(F.col(day) >= F.lit(as_of - datetime.timedelta(days=days)))
+
+
+def write_arrays(df: DataFrame, path: str, records: int = 1000) -> None:
+    """JSON arrays of at most so many records, a file each, as ``read`` takes them."""
+    dealt = df.select(F.floor(F.monotonically_increasing_id() / records).alias("_group"), F.struct(*df.columns).alias("_record"))
+    dealt.groupBy("_group").agg(F.to_json(F.collect_list("_record")).alias("value")).select("value").write.mode("append").option("maxRecordsPerFile", 1).text(path)

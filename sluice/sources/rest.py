@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from sluice.sources.bronze import write_chunks
+from sluice.sources.bronze import write_arrays
 
 Fetch = Callable[[str], dict]
 
@@ -105,5 +105,5 @@ def extract(spark: SparkSession, url: str, entity: str, schema: str, rows: int,
     spark.dataSource.register(RestSource)
     told = {"url": url, "entity": entity, "rows": str(rows)} | ({"filter": where} if where else {}) | options
     path = f"{root.rstrip('/')}/{load}/year={today:%Y}/month={today:%m}/day={today:%d}"
-    write_chunks(spark.read.format("rest").schema(schema).options(**told).load(), path)
+    write_arrays(spark.read.format("rest").schema(schema).options(**told).load(), path)
     return path
