@@ -3,7 +3,8 @@
 Rules name a host (with all its subdomains) and a path prefix; the longest that fits decides. The URLs that rules decide
 are the labelled ones: trees are fitted on at most ``most`` of them (the least by a hash of their id) and judge all
 other URLs by length, depth, digit ratio, character entropy, parameter counts and statistics of the host's suffix among
-all labelled URLs. The fitted trees become one SQL expression, so judging is a projection of the scan without any
+all labelled URLs (for the URLs that trees are fitted on: among those of the other ``FOLDS`` - 1 folds, so that no label
+goes into its own feature). The fitted trees become one SQL expression, so judging is a projection of the scan without any
 Python; suffix statistics of at most ``most`` rows are broadcast, more are joined by salted suffixes.
 
 Null URLs and those without ``://`` have an empty host and path and no rule. Where the labelled URLs are not of both
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import stored
 
 FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digits", "entropy", "parameters", "marks", "suffix_share", "suffix_blocked")
-_SALTS = 16
+_SALTS, FOLDS = 16, 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -112,14 +113,28 @@ def trained(labelled: DataFrame, id_col: str, *, most: int, trees: int, depth: i
     n, blocked = sample.agg(F.count("*"), F.sum("label")).first()
     if not n or not 0 < blocked < n:
         return None
-    counts = stored(labelled.select(_suffix(), (F.col("verdict") == "block").cast("double").alias("label")).groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")), "suffixes")
+    fold = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(FOLDS)).cast("int").alias("fold")
+    by_fold = stored(labelled.select(_suffix(), fold, (F.col("verdict") == "block").cast("double").alias("label")).groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")), "suffix_folds")
+    counts = stored(by_fold.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")), "suffixes")
     total, different = counts.agg(F.sum("n"), F.count("*")).first()
     suffixes = counts.select("suffix", (F.log1p(F.col("n").cast("double")) / F.log1p(F.lit(float(total)))).alias("suffix_share"), ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("suffix_blocked"))
     many = different > most
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(_with_suffixes(sample, suffixes, id_col, many))
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=32).fit(rows.select("features", "label"))
-    parts = [f"{w!r}D * {_tree_sql(t._java_obj.rootNode())}" for t, w in zip(model.trees, model.treeWeights, strict=True)]
-    return " + ".join(parts), suffixes, many
+    own = by_fold.join(counts.select("suffix", F.col("n").alias("all_n"), F.col("blocked").alias("all_blocked")), "suffix")
+    own = own.select("suffix", "fold", ((F.col("all_blocked") - F.col("blocked") + 1) / (F.col("all_n") - F.col("n") + 2)).alias("suffix_blocked"))
+    rows = _with_suffixes(sample, suffixes, id_col, many).drop("suffix_blocked").withColumn("fold", fold).join(own, ["suffix", "fold"])
+    model = fitted(rows, trees=trees, depth=depth, seed=seed)
+    return score_sql(model), suffixes, many
+
+
+def fitted(rows: DataFrame, *, trees: int, depth: int, seed: int):
+    """The trees of rows (FEATURES, label)."""
+    table = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+    return GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=32).fit(table.select("features", "label"))
+
+
+def score_sql(model) -> str:
+    """The weighted sum of a model's trees, over 0 for its class 1, as SQL over FEATURES."""
+    return " + ".join(f"{w!r}D * {_tree_sql(t._java_obj.rootNode())}" for t, w in zip(model.trees, model.treeWeights, strict=True))
 
 
 def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url: str = "url", most: int = 4000, trees: int = 8, depth: int = 4, seed: int = 7) -> DataFrame:

@@ -325,6 +325,22 @@ def test_rules_and_trees(spark):
         assert r.verdict == verdict if verdict else r.verdict in ("allow", "block")
 
 
+def test_rendered_trees_equal_the_model_s(spark):
+    """The SQL gives the class that the fitted model itself gives."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = random.Random(6)
+    rows = []
+    for _ in range(500):
+        x = [rng.random() * 10 for _ in urls.FEATURES]
+        rows.append((*x, float(x[0] + x[3] * x[6] > 25 or x[10] < 2)))
+    df = spark.createDataFrame(rows, [*urls.FEATURES, "label"])
+    model = urls.fitted(df, trees=6, depth=4, seed=1)
+    table = VectorAssembler(inputCols=list(urls.FEATURES), outputCol="features").transform(df)
+    both = model.transform(table).withColumn("own", (F.expr(urls.score_sql(model)) > 0).cast("double"))
+    assert both.where("own <> prediction").count() == 0 and 0 < both.agg(F.sum("own")).first()[0] < 500
+
+
 def test_urls_without_labels(spark):
     df = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [r.verdict for r in urls.judge(df, RULES).collect()] == ["allow"]
