@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import sharding
+from sluice.llm import oracles, sharding
 from sluice.llm.ann import nearest
 from sluice.llm.common import documents
 from sluice.llm.decontam import leaks
@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_extendible_hashing": sharding.oracle(SHARD_BYTES), "op10_dictionary_warc": WARC_SQL}
+    return {"op4_extendible_hashing": sharding.oracle(SHARD_BYTES), "op7_minhash_neardup": oracles.near_duplicates(), "op8_benchmark_decontamination": oracles.leaks(), "op9_substring_dedup": oracles.passages(), "op10_dictionary_warc": WARC_SQL}
