@@ -199,7 +199,7 @@ def _look_up(slots: list[tuple[int, int, int, int, int]]) -> Callable:
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, cache: int = 1_000_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, sequence: int = SEQUENCE, cache: int = 690_000) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) for each piece of docs (doc_id, text).
 
     tokenizer: the text of a tokenizer's JSON file.
